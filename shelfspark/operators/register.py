@@ -339,10 +339,13 @@ def register_funnel_by_date(events: DataFrame, registrations: DataFrame, hashes:
     codes = not_in(register_codes(events, urls), "unique_id", summary, "unique_id", null_aware)
     combined = with_organisation(codes, hashes, trim_hash=False)
     kept = combined.filter(~F.col("calculated_organisationid").isin(*excluded_orgs))
-    earliest = kept.groupBy("unique_id").agg(F.min("first_recorded_date").alias("_d0"))
-    firsts = (kept.join(earliest, kept["unique_id"].eqNullSafe(earliest["unique_id"]))
+    # MIN() OVER (PARTITION BY unique_id) as an aggregate joined back (NULL ids form one
+    # group, hence the null-safe join): no visitor's rows have to meet in one window task.
+    earliest = (kept.groupBy(F.col("unique_id").alias("_u"))
+                .agg(F.min("first_recorded_date").alias("_d0")))
+    firsts = (kept.join(earliest, F.col("unique_id").eqNullSafe(F.col("_u")))
               .filter(F.col("first_recorded_date") == F.col("_d0"))
-              .select(kept["unique_id"], "position_find", "first_recorded_date",
+              .select("unique_id", "position_find", "first_recorded_date",
                       "organisation_code", "calculated_organisationid"))
     full = firsts.join(first_identified(events, firsts, with_agent=False), "unique_id", "left")
     flags = by_date_flags(events, full.filter(F.col("first_user_event").isNull()), urls)

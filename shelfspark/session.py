@@ -21,11 +21,13 @@ JOB_CONF = {
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
-                  app_name: str = "shelfspark", extra: dict | None = None) -> SparkSession:
+                  app_name: str = "shelfspark", extra: dict | None = None,
+                  driver_memory: str = "8g") -> SparkSession:
     """Local/test session. On a cluster, use the cluster's builder and call ``apply_job_conf``."""
     builder = (SparkSession.builder.master(master).appName(app_name)
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
+               .config("spark.driver.memory", driver_memory)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
     for k, v in {**JOB_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
