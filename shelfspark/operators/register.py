@@ -31,6 +31,7 @@ from ..functions.joins import not_in, sized_broadcast
 from ..functions.urls import code_as_org_id, is_register_page, org_code, position_find
 from ..params import EXCLUDED_ORGANISATIONS, SiteUrls
 from ..schemas import REGISTER_SUMMARY_COLUMNS
+from ..session import materialize
 
 PAGES = ("homepage", "search", "pricing", "login", "signup", "mission")
 FLAG_COLUMNS = [f"{p}_pre" for p in PAGES] + [f"{p}_post" for p in PAGES]
@@ -164,7 +165,7 @@ def funnel_flags(events: DataFrame, visitors: DataFrame, urls: SiteUrls) -> Data
     ranks = (rank_of(ev.select("unique_id", "k"), queries)
              .groupBy("unique_id")
              .agg(F.map_from_entries(F.collect_list(F.struct("q", "rank"))).alias("_ranks")))
-    g = groups.join(ranks, "unique_id")
+    g = materialize(groups.join(ranks, "unique_id"), "funnel-groups")
 
     def rank(col: str) -> Column:
         return F.element_at(F.col("_ranks"), F.col(col)).cast("int")
@@ -236,6 +237,7 @@ def _export(joined: DataFrame, events: DataFrame) -> DataFrame:
                      *FLAG_COLUMNS,
                      F.col("events_pre_register").cast("int").alias("events_pre_register"),
                      F.col("events_post_register").cast("int").alias("events_post_register")))
+    final = materialize(final, "export")
     exported = final.select("unique_id").filter(uid.isNotNull()).distinct()
     counts = (events.filter(is_register_page(F.col("current_url")))
               .join(exported, "unique_id", "left_semi")
@@ -264,7 +266,8 @@ def high_water_mark(summary: DataFrame) -> Column:
 def register_rejoined(events: DataFrame, combined: DataFrame, urls: SiteUrls,
                       since: Column | None = None) -> DataFrame:
     """Full_Table + Case_Statements_List -> Rejoined_Main_Table (29 positional columns)."""
-    full = combined.join(first_identified(events, combined, since), "unique_id", "left")
+    full = materialize(combined.join(first_identified(events, combined, since), "unique_id", "left"),
+                       "visitors")
     unidentified = full.filter(F.col("first_user_event").isNull())
     flags = funnel_flags(events, unidentified, urls)
     return (full.join(flags, "unique_id", "left")
@@ -347,7 +350,8 @@ def register_funnel_by_date(events: DataFrame, registrations: DataFrame, hashes:
               .filter(F.col("first_recorded_date") == F.col("_d0"))
               .select("unique_id", "position_find", "first_recorded_date",
                       "organisation_code", "calculated_organisationid"))
-    full = firsts.join(first_identified(events, firsts, with_agent=False), "unique_id", "left")
+    full = materialize(firsts.join(first_identified(events, firsts, with_agent=False),
+                                   "unique_id", "left"), "visitors")
     flags = by_date_flags(events, full.filter(F.col("first_user_event").isNull()), urls)
     main = (full.join(flags, "unique_id", "left")
             .withColumn("user_id", F.lit(None).cast("long"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -58,3 +59,18 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     spark.sparkContext.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)
     return path
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` as Parquet under the shared checkpoint folder and continue from it.
+
+    Used for small per-visitor tables that later stages read several times. The stored
+    copy cuts the lineage (plans stay small; a lost executor does not force recomputing
+    from the raw events), costs one job (an RDD checkpoint would compute twice), and
+    gives the planner real file sizes, so a small table can be broadcast by Spark's own
+    size threshold while a large one stays a shuffle join.
+    """
+    root = ensure_checkpoint_dir(df.sparkSession)
+    path = f"{root.rstrip('/')}/shelfspark-{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
