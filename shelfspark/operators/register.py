@@ -12,14 +12,15 @@ all events. Here every per-visitor quantity is an aggregate instead:
 
 * first code, first identified event, first agent: ``min`` of an ordered struct
   (partial aggregation, no sort, any key size);
-* the row number of an event is the count of the visitor's events ordered before it.
-  Only a bounded set of row numbers is ever needed (per visitor and agent/environment
+* the row number of an event is the count of the visitor's events ordered at or before
+  it. Only a bounded set of row numbers is ever needed (per visitor and agent/environment
   group: last event before the register page, last after it, first at or after it), so
-  they are computed by bucketing each event against the visitor's few query keys and
-  counting buckets (``rank_of``), again with partial aggregation.
+  they are conditional counts in one aggregation (``funnel_flags``).
 
-Joins between events and per-visitor rows are equi-joins on ``unique_id`` whose per-visitor
-side has one (or a bounded few) rows, so AQE's skew-join split applies to a hot visitor.
+Events meet per-visitor tables (one row per visitor) in joins that are broadcast when a
+count of the visitor set proves it small, so raw events are never shuffled by visitor:
+only partial aggregates are. Per-visitor tables read several times are stored once
+(``materialize``) to keep plans small and recovery cheap.
 """
 
 from __future__ import annotations
@@ -105,79 +106,109 @@ def first_identified(events: DataFrame, visitors: DataFrame, since: Column | Non
     return out.select("unique_id", *cols)
 
 
-def rank_of(events: DataFrame, keys: DataFrame) -> DataFrame:
-    """Row number of given order keys within each visitor's events.
-
-    ``events``: (unique_id, k) with k the order key of every event; ``keys``: (unique_id,
-    q) a bounded number of query keys per visitor. Returns (unique_id, q, rank) with
-    rank = number of the visitor's events with k <= q. Each event falls into bucket
-    ``#(queries < k)``; counting buckets per visitor is a partial aggregation, and the
-    rank of the j-th smallest query is the count of buckets 0..j.
-    """
-    qs = (keys.filter(F.col("q").isNotNull()).distinct()
-          .groupBy("unique_id").agg(F.array_sort(F.collect_list("q")).alias("qs")))
-    buckets = (events.join(qs, "unique_id")
-               .select("unique_id", F.size(F.filter("qs", lambda q: q < F.col("k"))).alias("bucket"))
-               .groupBy("unique_id", "bucket").agg(F.count(F.lit(1)).alias("n")))
-    positions = qs.select("unique_id", F.posexplode("qs").alias("j", "q"))
-    return (positions.join(buckets, "unique_id")
-            .filter(F.col("bucket") <= F.col("j"))
-            .groupBy("unique_id", "q").agg(F.sum("n").alias("rank")))
-
-
 def page_flags(urls: SiteUrls) -> dict[str, Column]:
     url = F.col("current_url")
     return {p: url.isin(*targets).cast("int") for p, targets in urls.pages().items()}
 
 
-def funnel_flags(events: DataFrame, visitors: DataFrame, urls: SiteUrls) -> DataFrame:
+def _visitor_ids(visitors: DataFrame, broadcast_rows: int):
+    """Distinct non-NULL visitor ids and the join hint for tables with at most one row per
+    such visitor: broadcast when the counted id set is within ``broadcast_rows`` (the
+    count reads a stored table), otherwise a shuffle join."""
+    ids = visitors.select("unique_id").filter(F.col("unique_id").isNotNull()).distinct()
+    small = ids.count() <= broadcast_rows
+    hint = F.broadcast if small else (lambda d: d)
+    return hint(ids), hint
+
+
+# Event classes by whether the event has an agent / an environment: the reference groups
+# by (first agent if the event has one, first environment if it has one), so a visitor has
+# at most four groups, fixed by these two flags and the visitor's first agent/environment.
+_CLASSES = [(a, e) for a in (True, False) for e in (True, False)]
+_KEYS = ("pre_last", "post_last", "from_first")
+
+
+def funnel_flags(events: DataFrame, visitors: DataFrame, urls: SiteUrls,
+                 broadcast_rows: int = 2_000_000) -> DataFrame:
     """Case_Statements_List for visitors without an identified event.
 
-    For each visitor: T = order key of the first register-page event. Events are grouped by
-    (visitor, first agent if the event has an agent, first environment if it has one).
-    Per group: pre (before T) flags and last row number, post (after T) flags and last row
-    number, and at/after T the event count and first row number. Pre and post rows join
-    the at/after rows on the visitor only, so groups multiply as in the reference.
+    Per visitor, T is the order key of the first register-page event. Per group (see
+    ``_CLASSES``): flags and last row number before T, flags and last row number after T,
+    event count and first row number from T on. A row number is the count of the
+    visitor's events ordered at or before the event, so three passes over the visitor's
+    events suffice, each a join with a one-row-per-visitor table and an aggregation by
+    visitor (partial aggregation first, so a visitor with a huge share of the events is
+    combined inside every task before anything is shuffled):
+
+    1. first event's agent/environment and T;
+    2. per event class, the last/first keys of each region, counts and page flags;
+    3. the row number of each of those (at most 12) keys.
+
+    Classes then merge into the groups (two classes share a group when the visitor's first
+    agent or environment is NULL): row numbers are monotone in the key, so the merged
+    group's last row number is the max and its first the min. Pre and post rows join the
+    from-T rows on the visitor only, so groups multiply as in the reference.
     """
-    ev = (events.join(visitors.select("unique_id").filter(F.col("unique_id").isNotNull()).distinct(),
-                      "unique_id", "left_semi")
-          .select("unique_id", _order_key().alias("k"), "current_url", "user_agent",
-                  "environment_name"))
-    per_visitor = ev.groupBy("unique_id").agg(
-        F.min(F.struct(F.col("k").alias("o"), F.col("user_agent").alias("a"),
-                       F.col("environment_name").alias("e"))).alias("_first"),
-        F.min(F.when(is_register_page(F.col("current_url")), F.col("k"))).alias("_t"))
-    rows = (ev.join(per_visitor, "unique_id")
-            .select("unique_id", "k", "current_url", "_t",
-                    F.when(F.col("user_agent").isNotNull(), F.col("_first.a")).alias("g_agent"),
-                    F.when(F.col("environment_name").isNotNull(), F.col("_first.e")).alias("g_env")))
-    k, t = F.col("k"), F.col("_t")
-    pre, post, at_or_after = k < t, k > t, k >= t
+    ids, hint = _visitor_ids(visitors, broadcast_rows)
+    ev = (events.join(ids, "unique_id", "left_semi")
+          .select("unique_id", _order_key().alias("k"), "current_url",
+                  (F.col("user_agent").isNotNull().cast("int") * 2
+                   + F.col("environment_name").isNotNull().cast("int")).alias("_cls"),
+                  F.col("user_agent"), F.col("environment_name")))
+    k = F.col("k")
+    first = (ev.groupBy("unique_id")
+             .agg(F.min(F.struct(k.alias("o"), F.col("user_agent").alias("a"),
+                                 F.col("environment_name").alias("e"))).alias("_f"),
+                  F.min(F.when(is_register_page(F.col("current_url")), k)).alias("_t"))
+             .select("unique_id", F.col("_f.a").alias("_a0"), F.col("_f.e").alias("_e0"), "_t"))
+    t = F.col("_t")
+    pre, post, from_t = k < t, k > t, k >= t
     flags = page_flags(urls)
-    groups = rows.groupBy("unique_id", "g_agent", "g_env").agg(
-        F.max(F.when(pre, k)).alias("_pre_last"),
-        F.max(F.when(post, k)).alias("_post_last"),
-        F.min(F.when(at_or_after, k)).alias("_from_first"),
-        F.count(F.when(at_or_after, F.lit(1))).alias("_user_actions"),
-        *[F.max(F.when(pre, f)).alias(f"{p}_pre") for p, f in flags.items()],
-        *[F.max(F.when(post, f)).alias(f"{p}_post") for p, f in flags.items()])
-    queries = groups.select("unique_id", F.explode(F.array("_pre_last", "_post_last", "_from_first")).alias("q"))
-    ranks = (rank_of(ev.select("unique_id", "k"), queries)
+    aggs = [F.any_value("_a0").alias("_a0"), F.any_value("_e0").alias("_e0")]
+    for c, _ in enumerate(_CLASSES):
+        cls = F.col("_cls") == (3 - c)   # _CLASSES order: (a,e), (a,~e), (~a,e), (~a,~e)
+        aggs += [F.max(F.when(cls & pre, k)).alias(f"_pre_last{c}"),
+                 F.max(F.when(cls & post, k)).alias(f"_post_last{c}"),
+                 F.min(F.when(cls & from_t, k)).alias(f"_from_first{c}"),
+                 F.count(F.when(cls & from_t, F.lit(1))).alias(f"_actions{c}")]
+        aggs += [F.max(F.when(cls & pre, f)).alias(f"{p}_pre{c}") for p, f in flags.items()]
+        aggs += [F.max(F.when(cls & post, f)).alias(f"{p}_post{c}") for p, f in flags.items()]
+    regions = ev.join(hint(first), "unique_id").groupBy("unique_id").agg(*aggs)
+    key_cols = [f"_{n}{c}" for c in range(len(_CLASSES)) for n in _KEYS]
+    ranks = (ev.join(hint(regions.select("unique_id", *key_cols)), "unique_id")
              .groupBy("unique_id")
-             .agg(F.map_from_entries(F.collect_list(F.struct("q", "rank"))).alias("_ranks")))
-    g = materialize(groups.join(ranks, "unique_id"), "funnel-groups")
-
-    def rank(col: str) -> Column:
-        return F.element_at(F.col("_ranks"), F.col(col)).cast("int")
-
-    pre_t = g.filter(F.col("_pre_last").isNotNull()).select(
-        "unique_id", rank("_pre_last").alias("events_pre_register"), *[f"{p}_pre" for p in PAGES])
-    post_t = g.filter(F.col("_post_last").isNotNull()).select(
-        "unique_id", rank("_post_last").alias("events_post_register"), *[f"{p}_post" for p in PAGES])
+             .agg(*[F.count(F.when(k <= F.col(kc), F.lit(1))).alias(f"_rank{kc}")
+                    for kc in key_cols]))
+    per_visitor = regions.join(ranks, "unique_id")
+
+    def rank(name: str, c: int) -> Column:
+        return F.when(F.col(f"_{name}{c}").isNotNull(), F.col(f"_rank_{name}{c}")).cast("int")
+
+    classes = [F.struct(
+        (F.col("_a0") if a else F.lit(None).cast("string")).alias("g_agent"),
+        (F.col("_e0") if e else F.lit(None).cast("string")).alias("g_env"),
+        F.col(f"_pre_last{c}").isNotNull().alias("has_pre"),
+        F.col(f"_post_last{c}").isNotNull().alias("has_post"),
+        F.col(f"_actions{c}").alias("actions"),
+        rank("pre_last", c).alias("pre_rank"), rank("post_last", c).alias("post_rank"),
+        rank("from_first", c).alias("from_rank"),
+        *[F.col(f"{col}{c}").alias(col) for col in FLAG_COLUMNS]) for c, (a, e) in enumerate(_CLASSES)]
+    groups = (per_visitor.select("unique_id", F.explode(F.array(*classes)).alias("_s"))
+              .select("unique_id", "_s.*")
+              .filter(F.col("has_pre") | F.col("has_post") | (F.col("actions") > 0))
+              .groupBy("unique_id", "g_agent", "g_env")
+              .agg(F.bool_or("has_pre").alias("has_pre"), F.bool_or("has_post").alias("has_post"),
+                   F.sum("actions").alias("_user_actions"),
+                   F.max("pre_rank").alias("events_pre_register"),
+                   F.max("post_rank").alias("events_post_register"),
+                   F.min("from_rank").alias("_action_number"),
+                   *[F.max(col).alias(col) for col in FLAG_COLUMNS]))
+    g = materialize(groups, "funnel-groups")
+    pre_t = g.filter("has_pre").select("unique_id", "events_pre_register", *[f"{p}_pre" for p in PAGES])
+    post_t = g.filter("has_post").select("unique_id", "events_post_register", *[f"{p}_post" for p in PAGES])
     summarised = g.filter(F.col("_user_actions") > 0).select(
         "unique_id", F.col("g_agent").alias("first_user_agent_nojoin"),
-        F.col("g_env").alias("first_user_enviroment_nojoin"), "_user_actions",
-        rank("_from_first").alias("_action_number"))
+        F.col("g_env").alias("first_user_enviroment_nojoin"), "_user_actions", "_action_number")
     ua, an = F.col("_user_actions"), F.col("_action_number")
     return (summarised.join(pre_t, "unique_id", "left").join(post_t, "unique_id", "left")
             .select("unique_id", "first_user_agent_nojoin", "first_user_enviroment_nojoin",
@@ -300,18 +331,20 @@ def register_funnel_incremental(events: DataFrame, registrations: DataFrame, has
 
 
 # --- J9 ---------------------------------------------------------------------------------
-def by_date_flags(events: DataFrame, visitors: DataFrame, urls: SiteUrls) -> DataFrame:
+def by_date_flags(events: DataFrame, visitors: DataFrame, urls: SiteUrls,
+                  broadcast_rows: int = 2_000_000) -> DataFrame:
     """Case_Statements_List of the by-date variant, one row per visitor: events strictly
-    before / after the first register-page time are flagged and counted."""
-    ev = (events.join(visitors.select("unique_id").filter(F.col("unique_id").isNotNull()).distinct(),
-                      "unique_id", "left_semi")
+    before / after the first register-page time are flagged and counted (two passes over
+    the visitors' events, each partially aggregated before the shuffle)."""
+    ids, hint = _visitor_ids(visitors, broadcast_rows)
+    ev = (events.join(ids, "unique_id", "left_semi")
           .select("unique_id", "current_url", "record_date"))
     first = ev.groupBy("unique_id").agg(
         F.min(F.when(is_register_page(F.col("current_url")), F.col("record_date"))).alias("_first"))
     rd = F.col("record_date")
     pre, post = rd < F.col("_first"), rd > F.col("_first")
     flags = page_flags(urls)
-    agg = (ev.join(first, "unique_id").groupBy("unique_id").agg(
+    agg = (ev.join(hint(first), "unique_id").groupBy("unique_id").agg(
         F.count(F.when(pre, F.lit(1))).alias("_n_pre"),
         F.count(F.when(post, F.lit(1))).alias("_n_post"),
         *[F.max(F.when(pre, f)).alias(f"{p}_pre") for p, f in flags.items()],
