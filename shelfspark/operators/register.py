@@ -115,7 +115,7 @@ def _visitor_ids(visitors: DataFrame, broadcast_rows: int):
     """Distinct non-NULL visitor ids and the join hint for tables with at most one row per
     such visitor: broadcast when the counted id set is within ``broadcast_rows`` (the
     count reads a stored table), otherwise a shuffle join."""
-    ids = visitors.select("unique_id").filter(F.col("unique_id").isNotNull()).distinct()
+    ids = visitors.select("unique_id").filter(F.col("unique_id").isNotNull()).dropDuplicates()
     small = ids.count() <= broadcast_rows
     hint = F.broadcast if small else (lambda d: d)
     return hint(ids), hint
@@ -161,19 +161,30 @@ def funnel_flags(events: DataFrame, visitors: DataFrame, urls: SiteUrls,
                                  F.col("environment_name").alias("e"))).alias("_f"),
                   F.min(F.when(is_register_page(F.col("current_url")), k)).alias("_t"))
              .select("unique_id", F.col("_f.a").alias("_a0"), F.col("_f.e").alias("_e0"), "_t"))
+    # 2a. per event class and region (before T / T / after T): extreme keys, count, flags
     t = F.col("_t")
-    pre, post, from_t = k < t, k > t, k >= t
+    region = F.when(k < t, 0).when(k == t, 1).when(k > t, 2)
     flags = page_flags(urls)
-    aggs = [F.any_value("_a0").alias("_a0"), F.any_value("_e0").alias("_e0")]
+    segments = (ev.join(hint(first), "unique_id")
+                .select("unique_id", "_a0", "_e0", "_cls", "k", region.alias("_region"),
+                        *[f.alias(p) for p, f in flags.items()])
+                .filter(F.col("_region").isNotNull())
+                .groupBy("unique_id", "_a0", "_e0", "_cls", "_region")
+                .agg(F.max("k").alias("_kmax"), F.min("k").alias("_kmin"),
+                     F.count(F.lit(1)).alias("_n"), *[F.max(p).alias(p) for p in flags]))
+    # 2b. one row per visitor (at most 12 segment rows each)
+    cls, reg = F.col("_cls"), F.col("_region")
+    aggs = []
     for c, _ in enumerate(_CLASSES):
-        cls = F.col("_cls") == (3 - c)   # _CLASSES order: (a,e), (a,~e), (~a,e), (~a,~e)
-        aggs += [F.max(F.when(cls & pre, k)).alias(f"_pre_last{c}"),
-                 F.max(F.when(cls & post, k)).alias(f"_post_last{c}"),
-                 F.min(F.when(cls & from_t, k)).alias(f"_from_first{c}"),
-                 F.count(F.when(cls & from_t, F.lit(1))).alias(f"_actions{c}")]
-        aggs += [F.max(F.when(cls & pre, f)).alias(f"{p}_pre{c}") for p, f in flags.items()]
-        aggs += [F.max(F.when(cls & post, f)).alias(f"{p}_post{c}") for p, f in flags.items()]
-    regions = ev.join(hint(first), "unique_id").groupBy("unique_id").agg(*aggs)
+        in_c = cls == (3 - c)   # _CLASSES order: (a,e), (a,~e), (~a,e), (~a,~e)
+        aggs += [F.max(F.when(in_c & (reg == 0), F.col("_kmax"))).alias(f"_pre_last{c}"),
+                 F.max(F.when(in_c & (reg == 2), F.col("_kmax"))).alias(f"_post_last{c}"),
+                 F.min(F.when(in_c & (reg >= 1), F.col("_kmin"))).alias(f"_from_first{c}"),
+                 F.sum(F.when(in_c & (reg >= 1), F.col("_n"))).alias(f"_actions{c}")]
+        aggs += [F.max(F.when(in_c & (reg == 0), F.col(p))).alias(f"{p}_pre{c}") for p in flags]
+        aggs += [F.max(F.when(in_c & (reg == 2), F.col(p))).alias(f"{p}_post{c}") for p in flags]
+    # stored: read by the rank pass and by the final merge
+    regions = materialize(segments.groupBy("unique_id", "_a0", "_e0").agg(*aggs), "funnel-regions")
     key_cols = [f"_{n}{c}" for c in range(len(_CLASSES)) for n in _KEYS]
     ranks = (ev.join(hint(regions.select("unique_id", *key_cols)), "unique_id")
              .groupBy("unique_id")
@@ -189,7 +200,7 @@ def funnel_flags(events: DataFrame, visitors: DataFrame, urls: SiteUrls,
         (F.col("_e0") if e else F.lit(None).cast("string")).alias("g_env"),
         F.col(f"_pre_last{c}").isNotNull().alias("has_pre"),
         F.col(f"_post_last{c}").isNotNull().alias("has_post"),
-        F.col(f"_actions{c}").alias("actions"),
+        F.coalesce(F.col(f"_actions{c}"), F.lit(0)).alias("actions"),
         rank("pre_last", c).alias("pre_rank"), rank("post_last", c).alias("post_rank"),
         rank("from_first", c).alias("from_rank"),
         *[F.col(f"{col}{c}").alias(col) for col in FLAG_COLUMNS]) for c, (a, e) in enumerate(_CLASSES)]
