@@ -19,6 +19,7 @@ from ..functions.dates import (add_months, date_lit, day_boundaries, month_bound
                                second_boundaries, ts_lit)
 from ..params import BACKEND_EVENTS, RfiAverageParams, RfiBands, RfiWindow
 from ..schemas import RFI_AVERAGE_COLUMNS, RFI_MONTHLY_COLUMNS
+from ..session import materialize
 
 
 def _live_subscribed(subscriptions: DataFrame, subscribed_from) -> DataFrame:
@@ -201,7 +202,10 @@ def rfi_average(subscriptions: DataFrame, tracking: DataFrame, reading: DataFram
     r_level, r_score = recency(F.col("days_since_login"), bands.recency_edges)
     f_level, f_score = activity(F.col("avg_month_reading_days"), bands.frequency_edges, "D")
     i_level, i_score = activity(F.col("avg_month_mins_read"), bands.intensity_edges, "D")
-    scored = j.select("*", (r_score + f_score + i_score).alias("combined_score"),
-                      cohort(r_level, f_level, i_level).alias("combined_cohort"))
+    # Stored once: the result is read by the one-row minimum and by the final select, which
+    # would otherwise plan and run the whole pipeline twice.
+    scored = materialize(j.select("*", (r_score + f_score + i_score).alias("combined_score"),
+                                  cohort(r_level, f_level, i_level).alias("combined_cohort")),
+                         "rfi-average")
     history = scored.select(F.min("reporting_end_date")).scalar()
     return scored.withColumn("reporting_history_date", history).select(*RFI_AVERAGE_COLUMNS)
