@@ -91,15 +91,17 @@ def first_identified(events: DataFrame, visitors: DataFrame, since: Column | Non
                      with_agent: bool = True) -> DataFrame:
     """First_User_Actions(_grouped): event name (and agent) of each visitor's first event
     carrying a user id."""
-    ev = events.filter(F.col("user_id").isNotNull())
+    ev = events.filter(F.col("user_id").isNotNull() & F.col("unique_id").isNotNull())
     if since is not None:
         ev = ev.filter(F.col("record_date") >= since)
-    ev = ev.join(visitors.select("unique_id").filter(F.col("unique_id").isNotNull()).distinct(),
-                 "unique_id", "left_semi")
     vals = {"event": F.col("event_name")}
     if with_agent:
         vals["agent"] = F.col("user_agent")
-    out = ev.groupBy("unique_id").agg(_first(_order_key(), **vals).alias("_f"))
+    # reduce to one row per visitor first (partial aggregation: skew-safe), then keep the
+    # visitors asked for
+    out = (ev.groupBy("unique_id").agg(_first(_order_key(), **vals).alias("_f"))
+           .join(visitors.select("unique_id").filter(F.col("unique_id").isNotNull()).distinct(),
+                 "unique_id", "left_semi"))
     cols = [F.col("_f.event").alias("first_user_event")]
     if with_agent:
         cols.append(F.col("_f.agent").alias("first_user_agent"))
@@ -281,9 +283,9 @@ def _export(joined: DataFrame, events: DataFrame) -> DataFrame:
                      F.col("events_post_register").cast("int").alias("events_post_register")))
     final = materialize(final, "export")
     exported = final.select("unique_id").filter(uid.isNotNull()).distinct()
-    counts = (events.filter(is_register_page(F.col("current_url")))
-              .join(exported, "unique_id", "left_semi")
-              .groupBy("unique_id").agg(F.count(F.lit(1)).alias("group_register_page_count")))
+    counts = (events.filter(is_register_page(F.col("current_url")) & uid.isNotNull())
+              .groupBy("unique_id").agg(F.count(F.lit(1)).alias("group_register_page_count"))
+              .join(exported, "unique_id", "left_semi"))
     return final.join(counts, "unique_id", "left").select(*REGISTER_SUMMARY_COLUMNS)
 
 

@@ -61,17 +61,23 @@ def rfi_subscribers(subscriptions: DataFrame, w: RfiWindow) -> DataFrame:
 
 def rfi_activity(tracking: DataFrame, subscribers: DataFrame, w: RfiWindow) -> DataFrame:
     """user_id, last_active_date (events up to the cut-off), total_seconds_all_sessions
-    (sum over the window's sessions of last - first event, in second boundaries)."""
+    (sum over the window's sessions of last - first event, in second boundaries).
+
+    Events are reduced to one row per (user, session) before anything meets the
+    subscriber set: the aggregation is partial per task and shuffles on both keys, so a
+    user with a huge share of events is spread over tasks; only the reduced rows are
+    joined to subscribers.
+    """
     cut, start = ts_lit(w.cut_off), ts_lit(w.start)
     ts, sid = F.col("event_timestamp"), F.col("session_id")
     users = subscribers.select("user_id").distinct()
-    events = (_not_backend(tracking).filter(ts <= cut)
-              .join(users, "user_id", "left_semi"))
     in_session = sid.isNotNull() & (sid != "") & (ts >= start)
-    sessions = (events.groupBy("user_id", "session_id")
+    sessions = (_not_backend(tracking).filter((ts <= cut) & F.col("user_id").isNotNull())
+                .groupBy("user_id", "session_id")
                 .agg(F.max(ts).alias("_last_any"),
                      F.min(F.when(in_session, ts)).alias("_first"),
-                     F.max(F.when(in_session, ts)).alias("_last")))
+                     F.max(F.when(in_session, ts)).alias("_last"))
+                .join(users, "user_id", "left_semi"))
     return (sessions.groupBy("user_id")
             .agg(F.max(F.to_date("_last_any")).alias("last_active_date"),
                  F.sum(second_boundaries("_first", "_last")).alias("total_seconds_all_sessions")))
@@ -175,11 +181,16 @@ def rfi_average(subscriptions: DataFrame, tracking: DataFrame, reading: DataFram
     user; ``reporting_history_date`` is the earliest reporting end of the result."""
     subs = rfi_average_subscribers(subscriptions, p)
     # IN (subscribers WHERE ts <= reporting_end) == ts <= the user's latest reporting end.
+    # Events are first reduced to one row per (user, day) with the day's earliest time:
+    # a day counts as active iff that time is <= the user's reporting end.
     ends = subs.groupBy("user_id").agg(F.max("reporting_end_date").alias("_until"))
-    last = (_not_backend(tracking).join(ends, "user_id")
-            .filter(F.col("event_timestamp") <= F.col("_until"))
+    days = (_not_backend(tracking).filter(F.col("user_id").isNotNull())
+            .groupBy("user_id", F.to_date("event_timestamp").alias("_day"))
+            .agg(F.min("event_timestamp").alias("_earliest")))
+    last = (days.join(ends, "user_id")
+            .filter(F.col("_earliest") <= F.col("_until"))
             .groupBy("user_id")
-            .agg(F.max(F.to_date("event_timestamp")).alias("last_active_date")))
+            .agg(F.max("_day").alias("last_active_date")))
     avg = (rfi_average_reading(reading, subs)
            .select("user_id", "avg_month_reading_days", "avg_month_mins_read"))
     reg = registrations.select("user_id", "organisation_id", "registration_time")
