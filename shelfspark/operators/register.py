@@ -281,11 +281,10 @@ def _export(joined: DataFrame, events: DataFrame) -> DataFrame:
                      *FLAG_COLUMNS,
                      F.col("events_pre_register").cast("int").alias("events_pre_register"),
                      F.col("events_post_register").cast("int").alias("events_post_register")))
-    final = materialize(final, "export")
-    exported = final.select("unique_id").filter(uid.isNotNull()).distinct()
+    # register_count: register-page views per visitor over all time, reduced per visitor
+    # before the join; the left join keeps exactly the exported visitors.
     counts = (events.filter(is_register_page(F.col("current_url")) & uid.isNotNull())
-              .groupBy("unique_id").agg(F.count(F.lit(1)).alias("group_register_page_count"))
-              .join(exported, "unique_id", "left_semi"))
+              .groupBy("unique_id").agg(F.count(F.lit(1)).alias("group_register_page_count")))
     return final.join(counts, "unique_id", "left").select(*REGISTER_SUMMARY_COLUMNS)
 
 
