@@ -48,17 +48,30 @@ def rows_of(names, rows):
             Counter(tuple(norm(r[i]) for i in order) for r in rows))
 
 
+# Spark type -> DuckDB type of the same values.
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+         "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN"}
+
+
+def type_mismatches(df, con, sql):
+    rel = con.sql(sql)
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    return [(c, t, duck_types.get(c)) for c, t in df.dtypes if TYPES.get(t, t) != duck_types.get(c)]
+
+
 def compare(spark, sf_dir: str, name: str, con=None, verbose=False):
     import __spark_entry__ as E
     df = E.queries()[name](spark, sf_dir)
     s_names, s_rows = rows_of(df.columns, df.collect())
     con = con or duck(sf_dir)
+    types = type_mismatches(df, con, E.oracle_sql()[name])
     res = con.execute(E.oracle_sql()[name])
     d_names = [d[0] for d in res.description]
     d_names, d_rows = rows_of(d_names, res.fetchall())
-    ok = s_names == d_names and s_rows == d_rows
+    ok = s_names == d_names and s_rows == d_rows and not types
     info = {"name": name, "ok": ok, "spark_rows": sum(s_rows.values()),
-            "oracle_rows": sum(d_rows.values()), "spark_cols": s_names, "oracle_cols": d_names}
+            "oracle_rows": sum(d_rows.values()), "spark_cols": s_names, "oracle_cols": d_names,
+            "type_mismatches": types}
     if not ok and verbose:
         only_s = list((s_rows - d_rows).elements())[:5]
         only_d = list((d_rows - s_rows).elements())[:5]
