@@ -11,7 +11,8 @@ visitor key is not clean (``''`` cookies are kept), so one key can hold a large
 all events. Here every per-visitor quantity is an aggregate instead:
 
 * first code, first identified event, first agent: ``min`` of an ordered struct
-  (partial aggregation, no sort, any key size);
+  (partial aggregation per task before the shuffle; Spark runs struct minima as a
+  sort-based aggregation, which spills rather than failing on a large key);
 * the row number of an event is the count of the visitor's events ordered at or before
   it. Only a bounded set of row numbers is ever needed (per visitor and agent/environment
   group: last event before the register page, last after it, first at or after it), so
@@ -44,6 +45,10 @@ STATUS_NO_SIGNUP = "Register Page - No Signup"
 STATUS_B2C = "Register Page - B2C Transfered To B2B"
 ACCOUNT_CREATION = "account creation"
 
+# Per-visitor tables (one row, a few dozen bytes per visitor) are broadcast up to this many
+# visitors; above it the joins are shuffle joins.
+VISITOR_BROADCAST_ROWS = 2_000_000
+
 
 def _order_key() -> Column:
     """Event order within a visitor: record_date ascending with NULLs last, then event_id."""
@@ -88,20 +93,27 @@ def with_organisation(codes: DataFrame, hashes: DataFrame, trim_hash: bool = Tru
 
 
 def first_identified(events: DataFrame, visitors: DataFrame, since: Column | None = None,
-                     with_agent: bool = True) -> DataFrame:
+                     with_agent: bool = True, broadcast_rows: int | None = None) -> DataFrame:
     """First_User_Actions(_grouped): event name (and agent) of each visitor's first event
-    carrying a user id."""
+    carrying a user id.
+
+    ``visitors`` should be a stored table (it is counted). Up to ``broadcast_rows``
+    visitors, their ids are broadcast and only their events are aggregated; beyond that,
+    all identified events are first reduced to one row per visitor and the reduced rows
+    are joined. Both ways aggregate before any shuffle by visitor.
+    """
     ev = events.filter(F.col("user_id").isNotNull() & F.col("unique_id").isNotNull())
     if since is not None:
         ev = ev.filter(F.col("record_date") >= since)
     vals = {"event": F.col("event_name")}
     if with_agent:
         vals["agent"] = F.col("user_agent")
-    # reduce to one row per visitor first (partial aggregation: skew-safe), then keep the
-    # visitors asked for
-    out = (ev.groupBy("unique_id").agg(_first(_order_key(), **vals).alias("_f"))
-           .join(visitors.select("unique_id").filter(F.col("unique_id").isNotNull()).distinct(),
-                 "unique_id", "left_semi"))
+    ids, small = _visitor_ids(visitors, broadcast_rows)
+    first = _first(_order_key(), **vals).alias("_f")
+    if small:
+        out = ev.join(F.broadcast(ids), "unique_id", "left_semi").groupBy("unique_id").agg(first)
+    else:
+        out = ev.groupBy("unique_id").agg(first).join(ids, "unique_id", "left_semi")
     cols = [F.col("_f.event").alias("first_user_event")]
     if with_agent:
         cols.append(F.col("_f.agent").alias("first_user_agent"))
@@ -113,14 +125,13 @@ def page_flags(urls: SiteUrls) -> dict[str, Column]:
     return {p: url.isin(*targets).cast("int") for p, targets in urls.pages().items()}
 
 
-def _visitor_ids(visitors: DataFrame, broadcast_rows: int):
-    """Distinct non-NULL visitor ids and the join hint for tables with at most one row per
-    such visitor: broadcast when the counted id set is within ``broadcast_rows`` (the
-    count reads a stored table), otherwise a shuffle join."""
+def _visitor_ids(visitors: DataFrame, broadcast_rows: int | None) -> tuple[DataFrame, bool]:
+    """Distinct non-NULL visitor ids, and whether tables with at most one row per such
+    visitor may be broadcast: the id set is counted (``visitors`` is a stored table, so
+    the count is a cheap scan) and compared with ``broadcast_rows``."""
     ids = visitors.select("unique_id").filter(F.col("unique_id").isNotNull()).dropDuplicates()
-    small = ids.count() <= broadcast_rows
-    hint = F.broadcast if small else (lambda d: d)
-    return hint(ids), hint
+    limit = VISITOR_BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
+    return ids, ids.count() <= limit
 
 
 # Event classes by whether the event has an agent / an environment: the reference groups
@@ -131,7 +142,7 @@ _KEYS = ("pre_last", "post_last", "from_first")
 
 
 def funnel_flags(events: DataFrame, visitors: DataFrame, urls: SiteUrls,
-                 broadcast_rows: int = 2_000_000) -> DataFrame:
+                 broadcast_rows: int | None = None) -> DataFrame:
     """Case_Statements_List for visitors without an identified event.
 
     Per visitor, T is the order key of the first register-page event. Per group (see
@@ -151,8 +162,9 @@ def funnel_flags(events: DataFrame, visitors: DataFrame, urls: SiteUrls,
     group's last row number is the max and its first the min. Pre and post rows join the
     from-T rows on the visitor only, so groups multiply as in the reference.
     """
-    ids, hint = _visitor_ids(visitors, broadcast_rows)
-    ev = (events.join(ids, "unique_id", "left_semi")
+    ids, small = _visitor_ids(visitors, broadcast_rows)
+    hint = F.broadcast if small else (lambda d: d)
+    ev = (events.join(hint(ids), "unique_id", "left_semi")
           .select("unique_id", _order_key().alias("k"), "current_url",
                   (F.col("user_agent").isNotNull().cast("int") * 2
                    + F.col("environment_name").isNotNull().cast("int")).alias("_cls"),
@@ -309,6 +321,7 @@ def high_water_mark(summary: DataFrame) -> Column:
 def register_rejoined(events: DataFrame, combined: DataFrame, urls: SiteUrls,
                       since: Column | None = None) -> DataFrame:
     """Full_Table + Case_Statements_List -> Rejoined_Main_Table (29 positional columns)."""
+    combined = materialize(combined, "codes")
     full = materialize(combined.join(first_identified(events, combined, since), "unique_id", "left"),
                        "visitors")
     unidentified = full.filter(F.col("first_user_event").isNull())
@@ -344,12 +357,13 @@ def register_funnel_incremental(events: DataFrame, registrations: DataFrame, has
 
 # --- J9 ---------------------------------------------------------------------------------
 def by_date_flags(events: DataFrame, visitors: DataFrame, urls: SiteUrls,
-                  broadcast_rows: int = 2_000_000) -> DataFrame:
+                  broadcast_rows: int | None = None) -> DataFrame:
     """Case_Statements_List of the by-date variant, one row per visitor: events strictly
     before / after the first register-page time are flagged and counted (two passes over
     the visitors' events, each partially aggregated before the shuffle)."""
-    ids, hint = _visitor_ids(visitors, broadcast_rows)
-    ev = (events.join(ids, "unique_id", "left_semi")
+    ids, small = _visitor_ids(visitors, broadcast_rows)
+    hint = F.broadcast if small else (lambda d: d)
+    ev = (events.join(hint(ids), "unique_id", "left_semi")
           .select("unique_id", "current_url", "record_date"))
     first = ev.groupBy("unique_id").agg(
         F.min(F.when(is_register_page(F.col("current_url")), F.col("record_date"))).alias("_first"))
@@ -395,6 +409,7 @@ def register_funnel_by_date(events: DataFrame, registrations: DataFrame, hashes:
               .filter(F.col("first_recorded_date") == F.col("_d0"))
               .select("unique_id", "position_find", "first_recorded_date",
                       "organisation_code", "calculated_organisationid"))
+    firsts = materialize(firsts, "codes")
     full = materialize(firsts.join(first_identified(events, firsts, with_agent=False),
                                    "unique_id", "left"), "visitors")
     flags = by_date_flags(events, full.filter(F.col("first_user_event").isNull()), urls)
