@@ -113,7 +113,8 @@ def first_identified(events: DataFrame, visitors: DataFrame, since: Column | Non
     if small:
         out = ev.join(F.broadcast(ids), "unique_id", "left_semi").groupBy("unique_id").agg(first)
     else:
-        out = ev.groupBy("unique_id").agg(first).join(ids, "unique_id", "left_semi")
+        # inner join on distinct ids (a semi join would be pushed below the aggregation)
+        out = ev.groupBy("unique_id").agg(first).join(ids, "unique_id")
     cols = [F.col("_f.event").alias("first_user_event")]
     if with_agent:
         cols.append(F.col("_f.agent").alias("first_user_agent"))

@@ -77,7 +77,7 @@ def rfi_activity(tracking: DataFrame, subscribers: DataFrame, w: RfiWindow) -> D
                 .agg(F.max(ts).alias("_last_any"),
                      F.min(F.when(in_session, ts)).alias("_first"),
                      F.max(F.when(in_session, ts)).alias("_last"))
-                .join(users, "user_id", "left_semi"))
+                .join(users, "user_id"))   # inner join on distinct ids: stays after the reduction
     return (sessions.groupBy("user_id")
             .agg(F.max(F.to_date("_last_any")).alias("last_active_date"),
                  F.sum(second_boundaries("_first", "_last")).alias("total_seconds_all_sessions")))

@@ -17,6 +17,9 @@ def session_counts(tracking: DataFrame, subscriptions: DataFrame) -> DataFrame:
     pairs = (tracking.filter(F.col("user_id").isNotNull())
              .select("user_id", "session_id").distinct())
     subscribers = subscriptions.select("user_id").distinct()
-    return (pairs.join(subscribers, "user_id", "left_semi")
+    # An inner join with the distinct subscriber ids is the IN test; unlike a semi join,
+    # Catalyst does not push it below the de-duplication, so raw events are never
+    # shuffled by user.
+    return (pairs.join(subscribers, "user_id")
             .groupBy("user_id")
             .agg(F.count("session_id").alias("session_count")))
