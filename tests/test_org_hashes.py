@@ -30,3 +30,14 @@ def test_load_and_report(spark):
     assert rep[1]["n_shared_tokens"] == 1 and rep[3]["n_shared_tokens"] == 1
     assert rep[4]["n_other"] == 1 and rep[4]["n_shared_tokens"] == 1   # shares TOKEN_B with 2
     assert rep[2]["n_shared_tokens"] == 1
+
+
+def test_read_domain_with_fixed_schema(spark):
+    from shelfspark.sources.adapters import Tables
+    from shelfspark.sources.tables import read_domain
+    root = tempfile.mkdtemp(prefix="domain-", dir=os.environ.get("TMPDIR", "/tmp"))
+    t = Tables(spark, "/root/testdata/sf0.001")
+    t.subscriptions.write.parquet(f"{root}/subscriptions")
+    back = read_domain(spark, "subscriptions", f"{root}/subscriptions")
+    assert back.schema.simpleString() == t.subscriptions.schema.simpleString()
+    assert back.count() == t.subscriptions.count()
