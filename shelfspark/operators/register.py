@@ -20,7 +20,8 @@ all events. Here every per-visitor quantity is an aggregate instead:
 
 Events meet per-visitor tables (one row per visitor) in joins that are broadcast when a
 count of the visitor set proves it small, so raw events are never shuffled by visitor:
-only partial aggregates are. Per-visitor tables read several times are stored once
+only partial aggregates are. Above the bound the joins are salted (``per_key_join``), so a
+hot visitor's events spread over many tasks. Per-visitor tables read several times are stored once
 (``materialize``) to keep plans small and recovery cheap.
 """
 
@@ -29,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.joins import not_in, sized_broadcast
+from ..functions.joins import not_in, per_key_join, sized_broadcast
 from ..functions.urls import code_as_org_id, is_register_page, org_code, position_find
 from ..params import EXCLUDED_ORGANISATIONS, SiteUrls
 from ..schemas import REGISTER_SUMMARY_COLUMNS
@@ -164,9 +165,12 @@ def funnel_flags(events: DataFrame, visitors: DataFrame, urls: SiteUrls,
     from-T rows on the visitor only, so groups multiply as in the reference.
     """
     ids, small = _visitor_ids(visitors, broadcast_rows)
-    hint = F.broadcast if small else (lambda d: d)
-    ev = (events.join(hint(ids), "unique_id", "left_semi")
-          .select("unique_id", _order_key().alias("k"), "current_url",
+
+    def by_visitor(big: DataFrame, per_visitor: DataFrame, how: str = "inner") -> DataFrame:
+        return per_key_join(big, per_visitor, "unique_id", how, broadcast_small=small)
+
+    ev = (by_visitor(events, ids, "left_semi")
+          .select("unique_id", "event_id", _order_key().alias("k"), "current_url",
                   (F.col("user_agent").isNotNull().cast("int") * 2
                    + F.col("environment_name").isNotNull().cast("int")).alias("_cls"),
                   F.col("user_agent"), F.col("environment_name")))
@@ -180,7 +184,7 @@ def funnel_flags(events: DataFrame, visitors: DataFrame, urls: SiteUrls,
     t = F.col("_t")
     region = F.when(k < t, 0).when(k == t, 1).when(k > t, 2)
     flags = page_flags(urls)
-    segments = (ev.join(hint(first), "unique_id")
+    segments = (by_visitor(ev, first)
                 .select("unique_id", "_a0", "_e0", "_cls", "k", region.alias("_region"),
                         *[f.alias(p) for p, f in flags.items()])
                 .filter(F.col("_region").isNotNull())
@@ -201,7 +205,7 @@ def funnel_flags(events: DataFrame, visitors: DataFrame, urls: SiteUrls,
     # stored: read by the rank pass and by the final merge
     regions = materialize(segments.groupBy("unique_id", "_a0", "_e0").agg(*aggs), "funnel-regions")
     key_cols = [f"_{n}{c}" for c in range(len(_CLASSES)) for n in _KEYS]
-    ranks = (ev.join(hint(regions.select("unique_id", *key_cols)), "unique_id")
+    ranks = (by_visitor(ev, regions.select("unique_id", *key_cols))
              .groupBy("unique_id")
              .agg(*[F.count(F.when(k <= F.col(kc), F.lit(1))).alias(f"_rank{kc}")
                     for kc in key_cols]))
@@ -363,15 +367,14 @@ def by_date_flags(events: DataFrame, visitors: DataFrame, urls: SiteUrls,
     before / after the first register-page time are flagged and counted (two passes over
     the visitors' events, each partially aggregated before the shuffle)."""
     ids, small = _visitor_ids(visitors, broadcast_rows)
-    hint = F.broadcast if small else (lambda d: d)
-    ev = (events.join(hint(ids), "unique_id", "left_semi")
-          .select("unique_id", "current_url", "record_date"))
+    ev = (per_key_join(events, ids, "unique_id", "left_semi", broadcast_small=small)
+          .select("unique_id", "event_id", "current_url", "record_date"))
     first = ev.groupBy("unique_id").agg(
         F.min(F.when(is_register_page(F.col("current_url")), F.col("record_date"))).alias("_first"))
     rd = F.col("record_date")
     pre, post = rd < F.col("_first"), rd > F.col("_first")
     flags = page_flags(urls)
-    agg = (ev.join(hint(first), "unique_id").groupBy("unique_id").agg(
+    agg = (per_key_join(ev, first, "unique_id", broadcast_small=small).groupBy("unique_id").agg(
         F.count(F.when(pre, F.lit(1))).alias("_n_pre"),
         F.count(F.when(post, F.lit(1))).alias("_n_post"),
         *[F.max(F.when(pre, f)).alias(f"{p}_pre") for p, f in flags.items()],

@@ -149,7 +149,10 @@ def test_incremental_on_empty_summary_adds_no_register_rows(spark, tables):
     assert [r["unique_id"] for r in out.collect() if r["unique_id"] is not None] == []   # Q2
 
 
-def test_by_date_matches_literal_sql(spark, tables, con):
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_by_date_matches_literal_sql(spark, tables, con, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(funnel, "VISITOR_BROADCAST_ROWS", 0)
     events, regs, hashes = tables
     from pyspark.sql import functions as F
     before = events.filter(F.col("record_date") < ts(SPLIT))
