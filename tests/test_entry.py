@@ -11,7 +11,7 @@ def test_fixture_counts_at_sf0001(spark):
     """Row counts stated for the adapter views (FIXTURES.md §2)."""
     q = E.queries()
     sf = "/root/testdata/sf0.001"
-    assert q["session_counts"](spark, sf).count() == 10
-    assert q["b2c_churn"](spark, sf).count() == 9
+    assert q["session_counts"](spark, sf).count() == 15
+    assert q["b2c_churn"](spark, sf).count() == 365
     assert q["user_group_info"](spark, sf).count() == 129
     assert q["google_page_views"](spark, sf).count() == 11
