@@ -66,3 +66,17 @@ def test_period_overwrite_is_idempotent(spark):
     n = spark.read.parquet(f"{root}/v").count()
     sinks.overwrite_period(out, f"{root}/v", cols, "reporting_period_start")
     assert spark.read.parquet(f"{root}/v").count() == n == out.count()
+
+
+def test_book_views_table_schema_growth(spark):
+    """The by-period output (3 columns) and the by-day output (one more, geo_location) go
+    to the same reporting table; reads merge the schemas."""
+    root = tempfile.mkdtemp(prefix="growth-", dir=os.environ.get("TMPDIR", "/tmp"))
+    v2 = E.queries()["google_first_views_by_period"](spark, SF01)
+    v4 = E.queries()["google_first_views_by_day_geo"](spark, SF01)
+    sinks.append(v2, f"{root}/book_views", v2.columns)
+    sinks.append(v4, f"{root}/book_views", v4.columns)
+    merged = sinks.read_table(spark, f"{root}/book_views")
+    assert sorted(merged.columns) == sorted(v4.columns)
+    assert merged.count() == v2.count() + v4.count()
+    assert merged.filter(F.col("geo_location").isNull()).count() >= v2.count()
