@@ -8,8 +8,8 @@ from shelfspark.plans.inspect import (cartesian_products, plan_text, pushed_filt
                                       read_schemas, unpartitioned_windows)
 from tests.conftest import SF001
 
-# The two queries that need a stored prior summary build it eagerly; their final plans
-# are checked as well.
+# Queries with stored intermediate tables build those eagerly; their final plans are
+# checked here (the stored stages are checked by the fixture tests).
 NAMES = sorted(E.queries())
 
 
@@ -18,7 +18,7 @@ def test_no_cartesian_or_global_window(spark, name):
     text = plan_text(E.queries()[name](spark, SF001))
     assert cartesian_products(text) == []
     assert unpartitioned_windows(text) == []
-    assert "Window" not in text or "partitionBy" in text or "Window [" not in text
+    assert " Window " not in text and "Window (" not in text   # no job needs a window
 
 
 def test_google_views_push_down_and_prune(spark):
