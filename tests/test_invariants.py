@@ -80,3 +80,18 @@ def test_book_views_table_schema_growth(spark):
     assert sorted(merged.columns) == sorted(v4.columns)
     assert merged.count() == v2.count() + v4.count()
     assert merged.filter(F.col("geo_location").isNull()).count() >= v2.count()
+
+
+def test_cli_runs_a_job(spark):
+    from shelfspark.__main__ import parser, run
+    root = tempfile.mkdtemp(prefix="cli-", dir=os.environ.get("TMPDIR", "/tmp"))
+    args = parser().parse_args(["b2c_churn", "--driver-dir", SF01, "--out", f"{root}/churn",
+                                "--as-of", "2024-02-15T00:00:00"])
+    run(spark, args)
+    assert spark.read.parquet(f"{root}/churn").count() == E.queries()["b2c_churn"](spark, SF01).count()
+    args = parser().parse_args(["google_first_views_by_day_geo", "--driver-dir", SF01, "--out",
+                                f"{root}/views", "--start", "2024-01-01", "--end", "2024-01-31"])
+    run(spark, args)
+    run(spark, args)    # the period is replaced, not duplicated
+    assert spark.read.parquet(f"{root}/views").count() == \
+        E.queries()["google_first_views_by_day_geo"](spark, SF01).count()
