@@ -33,3 +33,26 @@ def test_google_views_push_down_and_prune(spark):
 def test_session_counts_reads_only_needed_columns(spark):
     text = plan_text(E.queries()["session_counts"](spark, SF001))
     assert any(s == "struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint>" for s in read_schemas(text))
+
+
+def test_stored_stages_have_no_cartesian_or_window(spark, monkeypatch):
+    """The stored intermediate tables (materialize) are checked the same way."""
+    import shelfspark.operators.register as register
+    import shelfspark.operators.rfi as rfi
+    import shelfspark.plans.catalog as catalog
+    from shelfspark.session import materialize as store
+    texts = []
+
+    def checked(df, name="stage"):
+        texts.append(plan_text(df))
+        return store(df, name)
+
+    for module in (register, rfi, catalog):
+        monkeypatch.setattr(module, "materialize", checked)
+    monkeypatch.setattr(catalog, "_SUMMARIES", {})
+    for name in ("register_funnel_incremental", "register_funnel_by_date", "rfi_average"):
+        E.queries()[name](spark, SF001)
+    assert len(texts) >= 8
+    for text in texts:
+        assert cartesian_products(text) == []
+        assert " Window " not in text and "Window (" not in text
