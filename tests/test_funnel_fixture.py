@@ -1,6 +1,7 @@
 """Register funnel (J7/J8/J9) on hand-made events with the deep edge cases, checked
 against the literal window-based SQL run by DuckDB on the same rows (brute force)."""
 
+import datetime as dt
 from collections import Counter
 
 import duckdb
@@ -160,3 +161,38 @@ def test_by_date_matches_literal_sql(spark, tables, con, monkeypatch, broadcast)
     out = funnel.register_funnel_by_date(events, regs, hashes, summary)
     ctes = {**O.register_ctes("s_", "events_before"), **O.by_date_ctes("", "event_tracking", "s_summary")}
     assert same(out, con, O.with_views("SELECT * FROM summary", extra=ctes)) > 0
+
+
+def _hot_key_events():
+    """One visitor ('' cookie) holds a third of all events."""
+    pages = [f"{B}/home", f"{B}/pricing", f"{B}/login", f"{B}/", f"{B}/mission", f"{B}/sign-up"]
+    rows, i = [], 1000
+    base = ts("2024-01-10 00:00:00")
+    for n in range(1200):                       # the hot visitor
+        url = REG + "orghash1" if n in (400, 900) else pages[n % len(pages)]
+        agent = None if n % 7 == 0 else f"a{n % 3}"
+        rows.append(ev(i, "", (base + dt.timedelta(seconds=n)).isoformat(sep=" "), url, agent=agent))
+        i += 1
+    for v in range(60):                         # 60 ordinary visitors, 40 events each
+        for n in range(40):
+            url = REG + str(v % 5 + 1) if n == 10 else pages[(n + v) % len(pages)]
+            rows.append(ev(i, f"h{v}", (base + dt.timedelta(minutes=v, seconds=n)).isoformat(sep=" "),
+                           url, agent=None if n % 5 == 0 else "x"))
+            i += 1
+    return rows
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_hot_visitor_matches_literal_sql(spark, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(funnel, "VISITOR_BROADCAST_ROWS", 0)
+    events = df(spark, "event_tracking", _hot_key_events())
+    regs, hashes = df(spark, "user_registrations", REGS), df(spark, "org_hashes", HASHES)
+    c = duckdb.connect()
+    for name, frame in (("event_tracking", events), ("user_registrations", regs), ("org_hashes", hashes)):
+        c.register(f"{name}_pdf", frame.toPandas())
+        c.execute(f"CREATE VIEW {name} AS SELECT * FROM {name}_pdf")
+    out = funnel.register_funnel_backfill(events, regs, hashes)
+    assert same(out, c, O.with_views("SELECT * FROM summary", extra=O.register_ctes("", "event_tracking"))) > 60
+    hot = [r for r in out.collect() if r["unique_id"] == ""]
+    assert hot and {r["events_post_register"] for r in hot} <= set(range(402, 1201))
