@@ -1,9 +1,12 @@
 """Named queries of this package and their DuckDB SQL where SQL can express them."""
 
-from shelfspark.llm import bpe, url_filter
+from shelfspark.llm import bpe, quality, secrets, toxicity, url_filter
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
+    "op3_secrets": secrets.op3_secrets,
+    "op4_quality": quality.op4_quality,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op8_url_filter": url_filter.op8_url_filter,
 }
 SQL = {**url_filter.SQL}
