@@ -1,9 +1,10 @@
 """Named queries of this package and their DuckDB SQL where SQL can express them."""
 
-from shelfspark.llm import bpe, quality, secrets, toxicity, url_filter
+from shelfspark.llm import bpe, near_dedup, quality, secrets, toxicity, url_filter
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
+    "op2_near_dedup": near_dedup.op2_near_dedup,
     "op3_secrets": secrets.op3_secrets,
     "op4_quality": quality.op4_quality,
     "op5_toxicity": toxicity.op5_toxicity,
