@@ -4,13 +4,15 @@
 gadget per merge, in rank order. The gadget for ``u v -> w`` splits the state that ``u`` leads
 to: arcs labelled ``u`` now end in a copy without its ``v`` arc, and every state with a ``u``
 arc gets a ``w`` arc that ends where ``v`` led from the split state. What is left after the last
-merge accepts exactly the correct tokenizations. A copied state shares the arcs of the state it
-was split from: it stores the arc it lost, when it lost it, and its parent, so the 50,000
-gadgets cost 50,000 small records instead of 50,000 rows of 50,000 arcs.
-
-Encoding walks a pre-split word: from each position it follows the byte trie of the token
-labels, and a token found there is an arc of the automaton state reached so far or not. Since
-the accepted tokenization of every prefix is unique, one (state, token) per position suffices.
+merge accepts exactly the correct tokenizations. All states come from splitting the first one, and
+a label's arcs end in one state, so a state is named by the label that leads to it and stored as
+its differences: the arc each gadget took from it and when, and for a merged label the state it
+shared until it was split itself. The 50,000 gadgets cost 50,000 small records instead of
+50,000 rows of 50,000 arcs; ``has_arc`` reads the table of a state through them.
+
+Encoding walks a pre-split word: the byte trie of the token labels (a transition table) finds
+the longest label at a position, and the automaton state reached so far has an arc for it or
+not. A word has exactly one accepted path, so the first walk that reaches its end is the answer.
 Decoding concatenates the arc labels of the ids.
 
 Defined cases: null text is treated as empty; an empty text has no ids and decodes to an empty
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -32,11 +35,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfspark.llm.common import read
+from shelfspark.llm.common import read, ship
 
 # Fixed value: the public pattern that splits a text before byte-level merges.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-WORDS_KEPT = 400_000  # encoded words kept per Python worker (a bounded cache, not a cap on input)
+WORDS_KEPT = 1_000_000  # encoded words kept per Python worker (a bounded cache, not a cap on input)
 LONGEST_KEPT = 64  # characters; longer words are encoded afresh
 
 
@@ -56,29 +59,22 @@ class Automaton:
     def __init__(self, labels: dict[int, bytes], merges: list[tuple[int, int, int]]):
         self.labels = labels
         self.born: dict[int, int] = {}  # rank of the gadget that made a token's arcs
-        self.first: dict[int, int] = {}  # left part of a merged token
-        self.parent, self.lost, self.when = [-1], [-1], [-1]  # state 0 accepts every byte string
-        self.target = {t: 0 for t, b in labels.items() if len(b) == 1}
+        self.parts: dict[int, tuple[int, int]] = {}
+        self.lost: dict[int, int] = {}  # label u and the arc v its copied state lost: rank of the gadget
         for rank, (u, v, w) in enumerate(merges):
-            self._gadget(rank, u, v, w)
+            # The copy loses its arc before the w arcs are added: with u = v it gets none.
+            self.lost.setdefault(u << 20 | v, rank)
+            if w not in self.born:  # a repeated label keeps its first gadget
+                self.born[w], self.parts[w] = rank, (u, v)
         self._index()
 
-    def _gadget(self, rank: int, u: int, v: int, w: int) -> None:
-        # With u = v the copy has lost its u arc before the w arcs are added, so it gets none.
-        if w not in self.target:  # a repeated label keeps its first gadget
-            self.born[w], self.first[w] = rank, u
-            self.target[w] = self.target[v]
-        self.parent.append(self.target[u])
-        self.lost.append(v)
-        self.when.append(rank)
-        self.target[u] = len(self.parent) - 1
-
     def _index(self) -> None:
-        """Byte trie of the labels as a transition table, and the lost arcs of each state by label."""
+        """Byte trie of the labels as a transition table, label sizes and shorter labels."""
+        labels = [t for t, b in self.labels.items() if len(b) == 1 or t in self.parts]
         self.step: dict[int, int] = {}
         self.accept: dict[int, int] = {}
         nodes = 1
-        for t in self.target:
+        for t in labels:
             node = 0
             for b in self.labels[t]:
                 key = node << 8 | b
@@ -87,72 +83,86 @@ class Automaton:
                     node = self.step[key] = nodes
                     nodes += 1
             self.accept[node] = t
-        # A state chain is read as (chain head, label) -> rank. Chains hang together as a tree in
-        # which each state adds one lost arc, so the lookup goes by Euler intervals of the tree.
-        n = len(self.parent)
-        children: list[list[int]] = [[] for _ in range(n)]
-        for s in range(1, n):
-            children[self.parent[s]].append(s)
-        self.enter, self.leave = [0] * n, [0] * n
-        clock, stack = 0, [(0, False)]
-        while stack:
-            s, done = stack.pop()
-            if done:
-                self.leave[s] = clock
-                continue
-            clock += 1
-            self.enter[s] = clock
-            stack.append((s, True))
-            stack.extend((c, False) for c in children[s])
-        self.losses: dict[int, list[tuple[int, int, int]]] = {}
-        for s in range(1, n):
-            self.losses.setdefault(self.lost[s], []).append((self.enter[s], self.leave[s], self.when[s]))
+        self.size = {t: len(self.labels[t]) for t in labels}
+        self.shorter: dict[int, int] = {}  # the longest label that is a proper prefix of a label
+        for t in labels:
+            node, best = 0, None
+            for b in self.labels[t][:-1]:
+                node = self.step[node << 8 | b]
+                best = self.accept.get(node, best)
+            if best is not None:
+                self.shorter[t] = best
         self.arcs: dict[int, bool] = {}
 
-    def has_arc(self, state: int, token: int) -> bool:
-        """Whether ``state`` has an arc for ``token`` after the last gadget."""
-        key = state << 20 | token
+    def has_arc(self, label: int, token: int) -> bool:
+        """Whether the state that ``label`` leads to has an arc for ``token`` after the last gadget."""
+        key = label << 20 | token
         known = self.arcs.get(key)
         if known is None:
-            known = self._arc(state, token)
+            known = self._arc(label, token)
             if len(self.arcs) < 4_000_000:
                 self.arcs[key] = known
         return known
 
-    def _arc(self, state: int, token: int) -> bool:
+    def _arc(self, label: int, token: int) -> bool:
         """A merged token's arc stands where its left part's arc stood when its gadget ran."""
-        at, upto = self.enter[state], 1 << 60
+        lost, born, parts = self.lost, self.born, self.parts
+        upto = 1 << 60
         while True:
-            for enter, leave, when in self.losses.get(token, ()):
-                if enter <= at <= leave and when <= upto:
+            state, until = label, 1 << 60
+            while True:
+                rank = lost.get(state << 20 | token)
+                if rank is not None and rank < until and rank <= upto:
                     return False
-            if token not in self.first:
+                # Until it is split itself, w shares the state that v led to when w was made.
+                if state not in parts:
+                    break
+                until = min(until, born[state])
+                state = parts[state][1]
+            if token not in parts:
                 return True
-            upto = self.born[token]
-            token = self.first[token]
+            upto = born[token]
+            token = parts[token][0]
 
     def encode(self, word: bytes) -> list[int]:
-        """Token ids of one pre-split word."""
+        """Token ids of one pre-split word.
+
+        Takes the longest label at each position that is an arc of the state, then shorter ones,
+        and steps back where no label fits. A position that was stepped back from is not on the
+        word's only accepted path and is not entered again, so the walk is linear in the word.
+        """
         n = len(word)
-        step, accept, target, has_arc = self.step, self.accept, self.target, self.has_arc
-        state, last = [-1] * (n + 1), [-1] * (n + 1)
-        state[0] = 0
-        for i in range(n):
-            node, here = 0, state[i]
-            if here < 0:
+        size, shorter, has_arc, longest = self.size, self.shorter, self.has_arc, self._longest
+        ids: list[int] = []
+        dead: set[int] = set()
+        at, state = 0, -1  # -1: the first state, which has every arc
+        token = longest(word, 0, n)
+        while at < n:
+            end = at + size[token]
+            if end not in dead and (state < 0 or has_arc(state, token)):
+                ids.append(token)
+                at, state = end, token
+                if at < n:
+                    token = longest(word, at, n)
                 continue
-            for j in range(i, n):
-                node = step.get(node << 8 | word[j])
-                if node is None:
-                    break
-                token = accept.get(node)
-                if token is not None and (i == 0 or has_arc(here, token)):
-                    state[j + 1], last[j + 1] = target[token], token
-        ids, at = [], n
-        while at > 0:
-            ids.append(last[at])
-            at -= len(self.labels[last[at]])
-        return ids[::-1]
+            token = shorter.get(token)
+            while token is None:  # no label fits here: step back and shorten the token before
+                dead.add(at)
+                last = ids.pop()
+                at -= size[last]
+                state = ids[-1] if ids else -1
+                token = shorter.get(last)
+        return ids
+
+    def _longest(self, word: bytes, at: int, n: int) -> int:
+        """The longest label that starts at a position of the word."""
+        node, token, step, accept = 0, -1, self.step, self.accept
+        for j in range(at, n):
+            node = step.get(node << 8 | word[j])
+            if node is None:
+                break
+            token = accept.get(node, token)
+        return token
 
 
 class Tokenizer:
@@ -180,7 +190,7 @@ class Tokenizer:
         self.cache: dict[str, bytes] = {}
 
     def _word(self, word: str) -> bytes:
-        ids = np.array(self.automaton.encode(word.encode()), dtype="<u4").tobytes()
+        ids = struct.pack(f"<{len(found := self.automaton.encode(word.encode()))}I", *found)
         if len(word) <= LONGEST_KEPT:
             if len(self.cache) >= WORDS_KEPT:
                 self.cache.clear()
@@ -223,6 +233,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id",
     broadcasts its bytes, whose size is fixed by the vocabulary and checked (64 MB at most).
     ``keep_text`` adds the decoded text.
     """
+    ship(docs.sparkSession)
     with open(vocabulary, "rb") as f:
         packed = zlib.compress(f.read())
     if len(packed) > 64 << 20:
