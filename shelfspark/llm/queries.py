@@ -1,6 +1,6 @@
 """Named queries of this package and their DuckDB SQL where SQL can express them."""
 
-from shelfspark.llm import bpe, decontaminate, near_dedup, quality, secrets, toxicity, url_filter
+from shelfspark.llm import bpe, decontaminate, near_dedup, quality, secrets, substring_dedup, toxicity, url_filter
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
@@ -8,6 +8,7 @@ QUERIES = {
     "op3_secrets": secrets.op3_secrets,
     "op4_quality": quality.op4_quality,
     "op5_toxicity": toxicity.op5_toxicity,
+    "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_decontaminate": decontaminate.op10_decontaminate,
     "op8_url_filter": url_filter.op8_url_filter,
 }
