@@ -1,6 +1,6 @@
 """Named queries of this package and their DuckDB SQL where SQL can express them."""
 
-from shelfspark.llm import bpe, decontaminate, html_extract, near_dedup, quality, secrets, substring_dedup, toxicity, url_filter
+from shelfspark.llm import bpe, compact_windows, decontaminate, html_extract, near_dedup, quality, secrets, substring_dedup, toxicity, url_filter
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_toxicity": toxicity.op5_toxicity,
     "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "op6_passages": compact_windows.op6_passages,
     "op7_html": html_extract.op7_html,
     "op8_url_filter": url_filter.op8_url_filter,
 }
