@@ -151,25 +151,24 @@ def _joined(spans: Column) -> Column:
         lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Per input row: id, ``base`` and ``added`` spans (start, end, kind number), and ``keep`` columns."""
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_row: bool = False) -> DataFrame:
+    """Per input row: id, ``base`` and ``added`` spans (start, end, kind number); if asked for the row as ``_row``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     low = F.lower(text)
     worded = F.lit(False)
     for word in ("password", "passwd", "secret", "token", "api"):
         worded = worded | F.contains(low, F.lit(word))
+    more = [F.struct(*[F.col(c) for c in docs.columns]).alias("_row")] if keep_row else []
     rows = docs.select(
-        F.col(id_col), *keep, text.alias("_text"),
+        F.col(id_col), *more, text.alias("_text"),
         F.concat(_spans(text, ASSIGN, 0, LEAST_VALUE, 2, worded),
                  _spans(text, ACCESS, 1, LEAST_ACCESS, 0, F.contains(text, F.lit("AKIA"))),
                  _spans(text, HEX, 2, LEAST_HEX, 0, text.rlike("[0-9a-f]{%d}" % LEAST_HEX))).alias("base"))
-    return rows.select(id_col, *keep, "_text", "base", _entropy_spans(F.col("_text"), F.col("base")).alias("added"))
+    return rows.withColumn("added", _entropy_spans(F.col("_text"), F.col("base")))
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """The input with every span replaced by ``mark``; texts without spans stay as they are."""
-    others = tuple(c for c in docs.columns if c not in (id_col, text_col))
-    found = scan(docs, id_col, text_col, (*others, text_col) if text_col not in others else others)
     spans = F.array_sort(F.concat("base", "added"))
 
     def cut(all_spans: Column) -> Column:
@@ -183,8 +182,9 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark
         return F.aggregate(all_spans, start, add, lambda acc: F.concat(
             acc["out"], F.substring(F.col("_text"), acc["at"] + 1, F.length("_text"))))
 
-    clean = F.when(F.size(F.concat("base", "added")) == 0, F.col(text_col)).otherwise(cut(spans))
-    return found.withColumn(text_col, clean).select(*docs.columns)
+    clean = F.when(F.size(F.concat("base", "added")) > 0, cut(spans)).otherwise(F.col("_row")[text_col])
+    return scan(docs, id_col, text_col, keep_row=True).select(
+        *[clean.alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in docs.columns])
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

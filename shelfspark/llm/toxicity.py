@@ -271,6 +271,21 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
 
 
+def keep_clean(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The input rows whose score is below ``threshold``, unchanged."""
+    ship(docs.sparkSession)
+    at = docs.columns.index(text_col)
+    features, weights, bias = model.features, model.weights, model.bias
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, finder = Model(features, weights, bias), Finder(features)
+        for batch in batches:
+            keep = [own.score(*finder.sentences(x.as_py() or "")[:2]) < threshold for x in batch.column(at)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = train(docs, read(spark, sf_dir, "labels"))
