@@ -32,3 +32,8 @@ def activity(value: Column, edges=(5, 2), zero_label: str | None = "D") -> tuple
 def cohort(*levels: Column) -> Column:
     """Joined letters; NULL when any level is NULL (string ``+`` semantics)."""
     return F.concat(*levels)
+
+
+def described(level: Column, texts: tuple[str, str, str, str]) -> Column:
+    """The text of a level A to D; NULL for other levels."""
+    return _band([(level == letter, text) for letter, text in zip("ABCD", texts)])

@@ -5,20 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Lookup tables (organisation hashes, groups, organisations) are broadcast only when a
-# row count proves they are small; above the bound the join stays a shuffle join.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
-
-    The check reads at most ``max_rows + 1`` rows of a lookup table (one small job).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def not_in(df: DataFrame, key: str, values: DataFrame, value_col: str,
            null_aware: bool = False, cast: str | None = None) -> DataFrame:
     """Rows of ``df`` whose ``key`` is NOT IN ``values.value_col``.
@@ -39,22 +25,3 @@ def not_in(df: DataFrame, key: str, values: DataFrame, value_col: str,
     n_null = vals.filter(F.col("_v").isNull()).select(F.count(F.lit(1))).scalar()
     keep = (n_values == 0) | (F.col("_k").isNotNull() & (n_null == 0))
     return anti.filter(keep).drop("_k")
-
-
-def per_key_join(big: DataFrame, small: DataFrame, on: str, how: str = "inner",
-                 broadcast_small: bool = True, salts: int = 32,
-                 salt_source: str = "event_id") -> DataFrame:
-    """Join a large table to a table with at most one row per key.
-
-    ``broadcast_small`` (decided by the caller from a count): broadcast hash join, the
-    large side is never shuffled. Otherwise a salted shuffle join: each large-side row
-    gets a salt from a hash of ``salt_source`` (deterministic, so a recomputed partition
-    gets the same salts) and each small-side row is repeated once per salt, so the rows
-    of one hot key are spread over ``salts`` tasks instead of one.
-    """
-    if broadcast_small:
-        return big.join(F.broadcast(small), on, how)
-    salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(F.col(salt_source)), F.lit(salts)))
-    salted_small = small.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    return salted_big.join(salted_small, [on, "_salt"], how).drop("_salt")

@@ -5,22 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.joins import sized_broadcast
 
-
-def user_group_info(users: DataFrame, groups: DataFrame, organisations: DataFrame,
-                    broadcast_rows: int = 1_000_000) -> DataFrame:
+def user_group_info(users: DataFrame, groups: DataFrame, organisations: DataFrame) -> DataFrame:
     """Users with ``group_id > 0``, left-joined to groups and organisations.
 
     The filter is applied to users before the joins (pushed into the scan); the two
-    lookups are broadcast when a row count shows they are small, so the user table is
-    never shuffled. Duplicate lookup ids multiply rows, as the SQL join does.
+    lookups carry no hint: Spark broadcasts them when their stored size is below its threshold. Duplicate lookup ids multiply rows, as the SQL join does.
     """
     u = users.filter(F.col("group_id").isNotNull() & (F.col("group_id") > 0))
-    g = sized_broadcast(groups.select(F.col("id").alias("_gid"), "group_name", "group_code"),
-                        broadcast_rows)
-    o = sized_broadcast(organisations.select(F.col("id").alias("_oid"), "organisation_name"),
-                        broadcast_rows)
+    g = groups.select(F.col("id").alias("_gid"), "group_name", "group_code")
+    o = organisations.select(F.col("id").alias("_oid"), "organisation_name")
     return (u.join(g, u["group_id"] == g["_gid"], "left")
             .join(o, u["organisation_id"] == o["_oid"], "left")
             .select(F.col("id").alias("user_id"), "group_id", "group_name", "group_code",

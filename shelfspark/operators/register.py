@@ -5,24 +5,15 @@ J7 ``register_funnel_backfill`` builds the summary over the full history, J8
 (from its high-water mark on), J9 ``register_funnel_by_date`` the earlier variant that
 splits events by time and excludes some organisations.
 
-Scale design. The reference numbers every event of a candidate visitor with ROW_NUMBER
-and FIRST_VALUE windows. A window needs all of one visitor's events in one task, and the
-visitor key is not clean (``''`` cookies are kept), so one key can hold a large share of
-all events. Here every per-visitor quantity is an aggregate instead:
-
-* first code, first identified event, first agent: ``min`` of an ordered struct
-  (partial aggregation per task before the shuffle; Spark runs struct minima as a
-  sort-based aggregation, which spills rather than failing on a large key);
-* the row number of an event is the count of the visitor's events ordered at or before
-  it. Only a bounded set of row numbers is ever needed (per visitor and agent/environment
-  group: last event before the register page, last after it, first at or after it), so
-  they are conditional counts in one aggregation (``funnel_flags``).
-
-Events meet per-visitor tables (one row per visitor) in joins that are broadcast when a
-count of the visitor set proves it small, so raw events are never shuffled by visitor:
-only partial aggregates are. Above the bound the joins are salted (``per_key_join``), so a
-hot visitor's events spread over many tasks. Per-visitor tables read several times are stored once
-(``materialize``) to keep plans small and recovery cheap.
+Scale design. The event table is scanned twice, whatever the job: once for the register
+hits and account creations (``event_marks``), once for all events of the visitors found there
+(``visitor_events``); both results are narrow and stored, and everything else reads them. No
+stage numbers a visitor's events with a window, which would put one visitor's events into one
+task (the ``''`` cookie can hold a large share of them). Every per-visitor quantity is an
+aggregate: minima of ordered structs, and row numbers as conditional counts, of which only a
+bounded set is needed per visitor (``funnel_flags``). An event that was delivered twice is two
+events of equal order, as in a numbered list. Joins carry no hints: the stored tables have real
+sizes, so Spark broadcasts the small ones and splits skewed partitions of the others.
 """
 
 from __future__ import annotations
@@ -30,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.joins import not_in, per_key_join, sized_broadcast
+from ..functions.joins import not_in
 from ..functions.urls import code_as_org_id, is_register_page, org_code, position_find
 from ..params import EXCLUDED_ORGANISATIONS, SiteUrls
 from ..schemas import REGISTER_SUMMARY_COLUMNS
@@ -46,11 +37,6 @@ STATUS_NO_SIGNUP = "Register Page - No Signup"
 STATUS_B2C = "Register Page - B2C Transfered To B2B"
 ACCOUNT_CREATION = "account creation"
 
-# Per-visitor tables (one row, a few dozen bytes per visitor) are broadcast up to this many
-# visitors; above it the joins are shuffle joins.
-VISITOR_BROADCAST_ROWS = 2_000_000
-
-
 def _order_key() -> Column:
     """Event order within a visitor: record_date ascending with NULLs last, then event_id."""
     d = F.col("record_date")
@@ -61,6 +47,25 @@ def _first(order: Column, **values: Column) -> Column:
     return F.min(F.struct(order.alias("o"), *[v.alias(k) for k, v in values.items()]))
 
 
+# --- the two scans of the event table ------------------------------------------------------
+def event_marks(events: DataFrame, urls: SiteUrls) -> DataFrame:
+    """Register hits and identified account creations, stored (first scan)."""
+    creation = (F.col("event_name") == ACCOUNT_CREATION) & F.col("user_id").isNotNull()
+    return materialize(events.filter(F.col("current_url").startswith(urls.register_prefix) | creation)
+                       .select("unique_id", "record_date", "current_url", "user_id", "event_name"), "marks")
+
+
+def visitor_events(events: DataFrame, visitors: DataFrame) -> DataFrame:
+    """All events of the given (non-NULL) visitors, stored (second scan)."""
+    return materialize(events.select(
+        "unique_id", "event_id", "record_date", "user_id", "event_name", "current_url", "user_agent",
+        "environment_name").join(_visitor_ids(visitors), "unique_id", "left_semi"), "visitor-events")
+
+
+def _visitor_ids(visitors: DataFrame) -> DataFrame:
+    return visitors.select("unique_id").filter(F.col("unique_id").isNotNull()).distinct()
+
+
 # --- shared stages ----------------------------------------------------------------------
 def register_codes(events: DataFrame, urls: SiteUrls) -> DataFrame:
     """Group_Register: first hit per visitor x organisation code on the register URL."""
@@ -88,34 +93,23 @@ def with_organisation(codes: DataFrame, hashes: DataFrame, trim_hash: bool = Tru
     """Combined_Table: code -> organisation id by hash; else a short numeric code is the id."""
     h = hashes.select((F.trim("hash") if trim_hash else F.col("hash")).alias("_hash"),
                       F.col("organisation_id").alias("_hash_org"))
-    joined = codes.join(sized_broadcast(h), codes["organisation_code"] == F.col("_hash"), "left")
+    joined = codes.join(h, codes["organisation_code"] == F.col("_hash"), "left")
     calc = F.coalesce(F.col("_hash_org"), code_as_org_id(F.col("organisation_code")))
     return joined.withColumn("calculated_organisationid", calc).drop("_hash", "_hash_org")
 
 
 def first_identified(events: DataFrame, visitors: DataFrame, since: Column | None = None,
-                     with_agent: bool = True, broadcast_rows: int | None = None) -> DataFrame:
+                     with_agent: bool = True) -> DataFrame:
     """First_User_Actions(_grouped): event name (and agent) of each visitor's first event
-    carrying a user id.
-
-    ``visitors`` should be a stored table (it is counted). Up to ``broadcast_rows``
-    visitors, their ids are broadcast and only their events are aggregated; beyond that,
-    all identified events are first reduced to one row per visitor and the reduced rows
-    are joined. Both ways aggregate before any shuffle by visitor.
-    """
+    carrying a user id. Partial aggregation comes before the shuffle by visitor."""
     ev = events.filter(F.col("user_id").isNotNull() & F.col("unique_id").isNotNull())
     if since is not None:
         ev = ev.filter(F.col("record_date") >= since)
     vals = {"event": F.col("event_name")}
     if with_agent:
         vals["agent"] = F.col("user_agent")
-    ids, small = _visitor_ids(visitors, broadcast_rows)
-    first = _first(_order_key(), **vals).alias("_f")
-    if small:
-        out = ev.join(F.broadcast(ids), "unique_id", "left_semi").groupBy("unique_id").agg(first)
-    else:
-        # inner join on distinct ids (a semi join would be pushed below the aggregation)
-        out = ev.groupBy("unique_id").agg(first).join(ids, "unique_id")
+    out = (ev.join(_visitor_ids(visitors), "unique_id", "left_semi")
+           .groupBy("unique_id").agg(_first(_order_key(), **vals).alias("_f")))
     cols = [F.col("_f.event").alias("first_user_event")]
     if with_agent:
         cols.append(F.col("_f.agent").alias("first_user_agent"))
@@ -127,126 +121,114 @@ def page_flags(urls: SiteUrls) -> dict[str, Column]:
     return {p: url.isin(*targets).cast("int") for p, targets in urls.pages().items()}
 
 
-def _visitor_ids(visitors: DataFrame, broadcast_rows: int | None) -> tuple[DataFrame, bool]:
-    """Distinct non-NULL visitor ids, and whether tables with at most one row per such
-    visitor may be broadcast: the id set is counted (``visitors`` is a stored table, so
-    the count is a cheap scan) and compared with ``broadcast_rows``."""
-    ids = visitors.select("unique_id").filter(F.col("unique_id").isNotNull()).dropDuplicates()
-    limit = VISITOR_BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
-    return ids, ids.count() <= limit
-
-
-# Event classes by whether the event has an agent / an environment: the reference groups
-# by (first agent if the event has one, first environment if it has one), so a visitor has
-# at most four groups, fixed by these two flags and the visitor's first agent/environment.
+# Event classes by whether the event has an agent / an environment: the funnel groups by
+# (first agent if the event has one, first environment if it has one), so a visitor has at
+# most four groups, fixed by these two flags and the visitor's first agent/environment.
 _CLASSES = [(a, e) for a in (True, False) for e in (True, False)]
-_KEYS = ("pre_last", "post_last", "from_first")
 
 
-def funnel_flags(events: DataFrame, visitors: DataFrame, urls: SiteUrls,
-                 broadcast_rows: int | None = None) -> DataFrame:
+def funnel_flags(events: DataFrame, visitors: DataFrame, urls: SiteUrls) -> DataFrame:
     """Case_Statements_List for visitors without an identified event.
 
-    Per visitor, T is the order key of the first register-page event. Per group (see
-    ``_CLASSES``): flags and last row number before T, flags and last row number after T,
-    event count and first row number from T on. A row number is the count of the
-    visitor's events ordered at or before the event, so three passes over the visitor's
-    events suffice, each a join with a one-row-per-visitor table and an aggregation by
-    visitor (partial aggregation first, so a visitor with a huge share of the events is
-    combined inside every task before anything is shuffled):
+    Let the visitor's events be listed by order key and F be the first register-page event,
+    with key T. Events before F in the list are "pre", events behind it "post", and F with the
+    post events is "from". Only one event at T is F: further events at T (a hit delivered
+    twice, or another event of the same time and id) are post events. Per class (see
+    ``_CLASSES``) the flags, the last place of the pre and of the post events, and the number
+    and first place of the from events follow from three aggregations over the stored events:
 
-    1. first event's agent/environment and T;
-    2. per event class, the last/first keys of each region, counts and page flags;
-    3. the row number of each of those (at most 12) keys.
+    1. the first event's agent and environment, T and the class of F;
+    2. per class and side of T: number, extreme keys and page flags;
+    3. places: how many events have a key below (or at) each of at most 12 extreme keys.
 
     Classes then merge into the groups (two classes share a group when the visitor's first
-    agent or environment is NULL): row numbers are monotone in the key, so the merged
-    group's last row number is the max and its first the min. Pre and post rows join the
-    from-T rows on the visitor only, so groups multiply as in the reference.
+    agent or environment is NULL). Pre and post rows join the from rows on the visitor only,
+    so groups multiply as in the reference.
     """
-    ids, small = _visitor_ids(visitors, broadcast_rows)
-
-    def by_visitor(big: DataFrame, per_visitor: DataFrame, how: str = "inner") -> DataFrame:
-        return per_key_join(big, per_visitor, "unique_id", how, broadcast_small=small)
-
-    ev = (by_visitor(events, ids, "left_semi")
-          .select("unique_id", "event_id", _order_key().alias("k"), "current_url",
-                  (F.col("user_agent").isNotNull().cast("int") * 2
-                   + F.col("environment_name").isNotNull().cast("int")).alias("_cls"),
-                  F.col("user_agent"), F.col("environment_name")))
-    k = F.col("k")
-    first = (ev.groupBy("unique_id")
-             .agg(F.min(F.struct(k.alias("o"), F.col("user_agent").alias("a"),
-                                 F.col("environment_name").alias("e"))).alias("_f"),
-                  F.min(F.when(is_register_page(F.col("current_url")), k)).alias("_t"))
-             .select("unique_id", F.col("_f.a").alias("_a0"), F.col("_f.e").alias("_e0"), "_t"))
-    # 2a. per event class and region (before T / T / after T): extreme keys, count, flags
-    t = F.col("_t")
-    region = F.when(k < t, 0).when(k == t, 1).when(k > t, 2)
     flags = page_flags(urls)
-    segments = (by_visitor(ev, first)
-                .select("unique_id", "_a0", "_e0", "_cls", "k", region.alias("_region"),
-                        *[f.alias(p) for p, f in flags.items()])
-                .filter(F.col("_region").isNotNull())
-                .groupBy("unique_id", "_a0", "_e0", "_cls", "_region")
-                .agg(F.max("k").alias("_kmax"), F.min("k").alias("_kmin"),
-                     F.count(F.lit(1)).alias("_n"), *[F.max(p).alias(p) for p in flags]))
-    # 2b. one row per visitor (at most 12 segment rows each)
-    cls, reg = F.col("_cls"), F.col("_region")
-    aggs = []
-    for c, _ in enumerate(_CLASSES):
-        in_c = cls == (3 - c)   # _CLASSES order: (a,e), (a,~e), (~a,e), (~a,~e)
-        aggs += [F.max(F.when(in_c & (reg == 0), F.col("_kmax"))).alias(f"_pre_last{c}"),
-                 F.max(F.when(in_c & (reg == 2), F.col("_kmax"))).alias(f"_post_last{c}"),
-                 F.min(F.when(in_c & (reg >= 1), F.col("_kmin"))).alias(f"_from_first{c}"),
-                 F.sum(F.when(in_c & (reg >= 1), F.col("_n"))).alias(f"_actions{c}")]
-        aggs += [F.max(F.when(in_c & (reg == 0), F.col(p))).alias(f"{p}_pre{c}") for p in flags]
-        aggs += [F.max(F.when(in_c & (reg == 2), F.col(p))).alias(f"{p}_post{c}") for p in flags]
-    # stored: read by the rank pass and by the final merge
-    regions = materialize(segments.groupBy("unique_id", "_a0", "_e0").agg(*aggs), "funnel-regions")
-    key_cols = [f"_{n}{c}" for c in range(len(_CLASSES)) for n in _KEYS]
-    ranks = (by_visitor(ev, regions.select("unique_id", *key_cols))
-             .groupBy("unique_id")
-             .agg(*[F.count(F.when(k <= F.col(kc), F.lit(1))).alias(f"_rank{kc}")
-                    for kc in key_cols]))
-    per_visitor = regions.join(ranks, "unique_id")
-
-    def rank(name: str, c: int) -> Column:
-        return F.when(F.col(f"_{name}{c}").isNotNull(), F.col(f"_rank_{name}{c}")).cast("int")
-
-    classes = [F.struct(
-        (F.col("_a0") if a else F.lit(None).cast("string")).alias("g_agent"),
-        (F.col("_e0") if e else F.lit(None).cast("string")).alias("g_env"),
-        F.col(f"_pre_last{c}").isNotNull().alias("has_pre"),
-        F.col(f"_post_last{c}").isNotNull().alias("has_post"),
-        F.coalesce(F.col(f"_actions{c}"), F.lit(0)).alias("actions"),
-        rank("pre_last", c).alias("pre_rank"), rank("post_last", c).alias("post_rank"),
-        rank("from_first", c).alias("from_rank"),
-        *[F.col(f"{col}{c}").alias(col) for col in FLAG_COLUMNS]) for c, (a, e) in enumerate(_CLASSES)]
-    groups = (per_visitor.select("unique_id", F.explode(F.array(*classes)).alias("_s"))
-              .select("unique_id", "_s.*")
-              .filter(F.col("has_pre") | F.col("has_post") | (F.col("actions") > 0))
-              .groupBy("unique_id", "g_agent", "g_env")
-              .agg(F.bool_or("has_pre").alias("has_pre"), F.bool_or("has_post").alias("has_post"),
-                   F.sum("actions").alias("_user_actions"),
-                   F.max("pre_rank").alias("events_pre_register"),
-                   F.max("post_rank").alias("events_post_register"),
-                   F.min("from_rank").alias("_action_number"),
-                   *[F.max(col).alias(col) for col in FLAG_COLUMNS]))
+    ev = (events.join(_visitor_ids(visitors), "unique_id", "left_semi")
+          .select("unique_id", _order_key().alias("k"), "user_agent", "environment_name",
+                  F.when(F.col("user_agent").isNotNull(), F.when(F.col("environment_name").isNotNull(), 0).otherwise(1))
+                  .otherwise(F.when(F.col("environment_name").isNotNull(), 2).otherwise(3)).alias("cls"),
+                  is_register_page(F.col("current_url")).alias("register"),
+                  *[f.alias(p) for p, f in flags.items()]))
+    k = F.col("k")
+    heads = materialize(
+        ev.groupBy("unique_id")
+        .agg(F.min(F.struct("k", F.col("user_agent").alias("a"), F.col("environment_name").alias("e"))).alias("f"),
+             F.min(F.when(F.col("register"), F.struct("k", "cls"))).alias("t"))
+        .filter(F.col("t").isNotNull())
+        .select("unique_id", F.col("f.a").alias("a0"), F.col("f.e").alias("e0"),
+                F.col("t.k").alias("t"), F.col("t.cls").alias("t_cls")), "funnel-heads")
+    side = F.when(k < F.col("t"), 0).when(k == F.col("t"), 1).otherwise(2)
+    sides = (ev.join(heads, "unique_id").withColumn("side", side)
+             .groupBy("unique_id", "cls", "side")
+             .agg(F.min("k").alias("k_min"), F.max("k").alias("k_max"), F.count(F.lit(1)).alias("n"),
+                  *[F.max(p).alias(p) for p in flags]))
+    # One row per visitor and class (at most 3 sides each).
+    at = {name: (lambda v, i=i: F.max(F.when(F.col("side") == i, v))) for i, name in enumerate(("pre", "at", "post"))}
+    classes = (sides.groupBy("unique_id", "cls")
+               .agg(at["pre"](F.col("k_max")).alias("pre_last"), at["post"](F.col("k_max")).alias("post_last"),
+                    at["post"](F.col("k_min")).alias("post_first"),
+                    *[F.coalesce(at[x](F.col("n")), F.lit(0)).alias(f"n_{x}") for x in at],
+                    *[at["pre"](F.col(p)).alias(f"{p}_pre") for p in flags],
+                    *[F.max(F.when(F.col("side") >= 1, F.col(p))).alias(f"{p}_from") for p in flags])
+               .join(heads, "unique_id"))
+    is_f = F.col("cls") == F.col("t_cls")
+    more_at = (F.col("n_at") - F.when(is_f, 1).otherwise(0)) > 0
+    classes = materialize(classes.select(
+        "unique_id", "a0", "e0", "cls", "pre_last",
+        F.coalesce("post_last", F.when(more_at, F.col("t"))).alias("post_last"),
+        F.when(F.col("n_at") > 0, F.col("t")).otherwise(F.col("post_first")).alias("from_first"),
+        # An event at T of another class than F stands behind F.
+        F.when((F.col("n_at") > 0) & ~is_f, 1).otherwise(0).alias("behind"),
+        (F.col("n_at") + F.col("n_post")).alias("actions"),
+        *[f"{p}_pre" for p in flags],
+        *[F.when((F.col("n_post") > 0) | more_at, F.col(f"{p}_from")).alias(f"{p}_post") for p in flags]),
+        "funnel-classes")
+    # Places: counts over the visitor's events against the classes' extreme keys.
+    names = ("pre_last", "post_last", "from_first")
+    wide = classes.groupBy("unique_id").agg(*[
+        F.max(F.when(F.col("cls") == c, F.col(n))).alias(f"{n}{c}") for n in names for c in range(len(_CLASSES))])
+
+    def place(n: str, c: int) -> Column:
+        key = F.col(f"{n}{c}")
+        return F.count(F.when(k < key if n == "from_first" else k <= key, F.lit(1))).alias(f"{n}{c}_place")
+
+    places = (ev.select("unique_id", "k").join(wide, "unique_id").groupBy("unique_id")
+              .agg(*[place(n, c) for n in names for c in range(len(_CLASSES))]))
+
+    def placed(n: str) -> Column:
+        value = F.lit(None).cast("long")
+        for c in range(len(_CLASSES)):
+            value = F.when(F.col("cls") == c, F.col(f"{n}{c}_place")).otherwise(value)
+        return F.when(F.col(n).isNotNull(), value)
+
+    groups = (classes.join(places, "unique_id")
+              .select("unique_id", F.when(F.col("cls") < 2, F.col("a0")).alias("visit_agent"),
+                      F.when(F.col("cls") % 2 == 0, F.col("e0")).alias("visit_environment"), "actions",
+                      placed("pre_last").cast("int").alias("pre_place"),
+                      placed("post_last").cast("int").alias("post_place"),
+                      (placed("from_first") + 1 + F.col("behind")).cast("int").alias("from_place"), *FLAG_COLUMNS)
+              .groupBy("unique_id", "visit_agent", "visit_environment")
+              .agg(F.sum("actions").alias("actions"), F.max("pre_place").alias("events_pre_register"),
+                   F.max("post_place").alias("events_post_register"), F.min("from_place").alias("from_place"),
+                   *[F.max(c).alias(c) for c in FLAG_COLUMNS]))
     g = materialize(groups, "funnel-groups")
-    pre_t = g.filter("has_pre").select("unique_id", "events_pre_register", *[f"{p}_pre" for p in PAGES])
-    post_t = g.filter("has_post").select("unique_id", "events_post_register", *[f"{p}_post" for p in PAGES])
-    summarised = g.filter(F.col("_user_actions") > 0).select(
-        "unique_id", F.col("g_agent").alias("first_user_agent_nojoin"),
-        F.col("g_env").alias("first_user_enviroment_nojoin"), "_user_actions", "_action_number")
-    ua, an = F.col("_user_actions"), F.col("_action_number")
-    return (summarised.join(pre_t, "unique_id", "left").join(post_t, "unique_id", "left")
-            .select("unique_id", "first_user_agent_nojoin", "first_user_enviroment_nojoin",
+    pre = (g.filter(F.col("events_pre_register").isNotNull())
+           .select("unique_id", "events_pre_register", *[f"{p}_pre" for p in PAGES]))
+    post = (g.filter(F.col("events_post_register").isNotNull())
+            .select("unique_id", "events_post_register", *[f"{p}_post" for p in PAGES]))
+    actions, first_place = F.col("actions"), F.col("from_place")
+    return (g.filter(actions > 0)
+            .select("unique_id", "visit_agent", "visit_environment", "actions", "from_place")
+            .join(pre, "unique_id", "left").join(post, "unique_id", "left")
+            .select("unique_id", "visit_agent", "visit_environment",
                     *FLAG_COLUMNS, "events_pre_register", "events_post_register",
-                    F.when(ua == 1, 1).otherwise(0).alias("inmmediately_left_page"),
-                    F.when(ua > 1, 1).otherwise(0).alias("clicked_around"),
-                    F.when(an == 1, 1).otherwise(0).alias("first_action_group_register"),
-                    F.when(an > 1, 1).otherwise(0).alias("first_action_on_site")))
+                    F.when(actions == 1, 1).otherwise(0).alias("left_at_once"),
+                    F.when(actions > 1, 1).otherwise(0).alias("clicked_around"),
+                    F.when(first_place == 1, 1).otherwise(0).alias("register_first"),
+                    F.when(first_place > 1, 1).otherwise(0).alias("other_first")))
 
 
 def b2c_transfers(registrations: DataFrame, events: DataFrame,
@@ -265,10 +247,9 @@ def b2c_transfers(registrations: DataFrame, events: DataFrame,
 # Columns of the register branch of the UNION, positional order of the reference.
 _MAIN_COLUMNS = ["unique_id", "position_find", "first_recorded_date", "organisation_code",
                  "unique_id_row_number", "calculated_organisationid", "first_user_event",
-                 "first_user_agent", "first_user_agent_nojoin", "first_user_enviroment_nojoin",
+                 "first_user_agent", "visit_agent", "visit_environment",
                  *FLAG_COLUMNS, "events_pre_register", "events_post_register",
-                 "inmmediately_left_page", "clicked_around", "first_action_group_register",
-                 "first_action_on_site", "user_id"]
+                 "left_at_once", "clicked_around", "register_first", "other_first", "user_id"]
 
 
 def _union_distinct(main: DataFrame, b2c: DataFrame) -> DataFrame:
@@ -293,13 +274,14 @@ def _export(joined: DataFrame, events: DataFrame) -> DataFrame:
                      .otherwise(user.cast("string")).alias("main_reporting_id"),
                      "first_recorded_date", "organisation_code", "calculated_organisationid",
                      status.alias("user_status"),
-                     F.col("inmmediately_left_page").alias("nosignup_left_registration_page"),
+                     F.col("left_at_once").alias("nosignup_left_registration_page"),
                      F.col("clicked_around").alias("nosignup_another_page"),
                      *FLAG_COLUMNS,
                      F.col("events_pre_register").cast("int").alias("events_pre_register"),
                      F.col("events_post_register").cast("int").alias("events_post_register")))
     # register_count: register-page views per visitor over all time, reduced per visitor
-    # before the join; the left join keeps exactly the exported visitors.
+    # before the join; the left join keeps exactly the exported visitors. ``events`` holds all
+    # events of the visitors that can be exported.
     counts = (events.filter(is_register_page(F.col("current_url")) & uid.isNotNull())
               .groupBy("unique_id").agg(F.count(F.lit(1)).alias("group_register_page_count")))
     return final.join(counts, "unique_id", "left").select(*REGISTER_SUMMARY_COLUMNS)
@@ -323,14 +305,12 @@ def high_water_mark(summary: DataFrame) -> Column:
     return summary.select(F.max("first_recorded_date")).scalar()
 
 
-def register_rejoined(events: DataFrame, combined: DataFrame, urls: SiteUrls,
+def register_rejoined(slice_: DataFrame, combined: DataFrame, urls: SiteUrls,
                       since: Column | None = None) -> DataFrame:
-    """Full_Table + Case_Statements_List -> Rejoined_Main_Table (29 positional columns)."""
-    combined = materialize(combined, "codes")
-    full = materialize(combined.join(first_identified(events, combined, since), "unique_id", "left"),
-                       "visitors")
-    unidentified = full.filter(F.col("first_user_event").isNull())
-    flags = funnel_flags(events, unidentified, urls)
+    """Full_Table + Case_Statements_List -> Rejoined_Main_Table. ``slice_`` and ``combined``
+    are stored tables (``visitor_events``, codes)."""
+    full = materialize(combined.join(first_identified(slice_, combined, since), "unique_id", "left"), "visitors")
+    flags = funnel_flags(slice_, full.filter(F.col("first_user_event").isNull()), urls)
     return (full.join(flags, "unique_id", "left")
             .withColumn("user_id", F.lit(None).cast("long"))
             .select(*_MAIN_COLUMNS))
@@ -338,10 +318,13 @@ def register_rejoined(events: DataFrame, combined: DataFrame, urls: SiteUrls,
 
 def register_funnel_backfill(events: DataFrame, registrations: DataFrame, hashes: DataFrame,
                              urls: SiteUrls = SiteUrls()) -> DataFrame:
-    """J7: the 23-column register summary over the whole event history."""
-    combined = register_org_codes(events, hashes, urls)
-    main = register_rejoined(events, combined, urls)
-    return _export(_union_distinct(main, b2c_transfers(registrations, events)), events)
+    """J7: the 23-column register summary over the whole event history. Runs its stored stages
+    when called; the returned DataFrame reads them."""
+    marks = event_marks(events, urls)
+    combined = materialize(register_org_codes(marks, hashes, urls), "codes")
+    slice_ = visitor_events(events, combined)
+    main = register_rejoined(slice_, combined, urls)
+    return _export(_union_distinct(main, b2c_transfers(registrations, marks)), slice_)
 
 
 def register_funnel_incremental(events: DataFrame, registrations: DataFrame, hashes: DataFrame,
@@ -354,27 +337,26 @@ def register_funnel_incremental(events: DataFrame, registrations: DataFrame, has
     ``null_aware=False`` ignores NULL ids in the NOT IN tests; ``True`` keeps the SQL
     meaning, where one NULL id in the summary blocks every row of that branch.
     """
-    combined = register_org_codes(events, hashes, urls, summary, null_aware)
-    main = register_rejoined(events, combined, urls, since=high_water_mark(summary))
-    b2c = b2c_transfers(registrations, events, summary, null_aware)
-    return _export(_union_distinct(main, b2c), events)
+    marks = event_marks(events, urls)
+    combined = materialize(register_org_codes(marks, hashes, urls, summary, null_aware), "codes")
+    slice_ = visitor_events(events, combined)
+    main = register_rejoined(slice_, combined, urls, since=high_water_mark(summary))
+    return _export(_union_distinct(main, b2c_transfers(registrations, marks, summary, null_aware)), slice_)
 
 
 # --- J9 ---------------------------------------------------------------------------------
-def by_date_flags(events: DataFrame, visitors: DataFrame, urls: SiteUrls,
-                  broadcast_rows: int | None = None) -> DataFrame:
+def by_date_flags(events: DataFrame, visitors: DataFrame, urls: SiteUrls) -> DataFrame:
     """Case_Statements_List of the by-date variant, one row per visitor: events strictly
     before / after the first register-page time are flagged and counted (two passes over
-    the visitors' events, each partially aggregated before the shuffle)."""
-    ids, small = _visitor_ids(visitors, broadcast_rows)
-    ev = (per_key_join(events, ids, "unique_id", "left_semi", broadcast_small=small)
-          .select("unique_id", "event_id", "current_url", "record_date"))
-    first = ev.groupBy("unique_id").agg(
-        F.min(F.when(is_register_page(F.col("current_url")), F.col("record_date"))).alias("_first"))
+    the stored events, each partially aggregated before the shuffle)."""
+    ev = (events.join(_visitor_ids(visitors), "unique_id", "left_semi")
+          .select("unique_id", "current_url", "record_date"))
+    first = materialize(ev.groupBy("unique_id").agg(
+        F.min(F.when(is_register_page(F.col("current_url")), F.col("record_date"))).alias("_first")), "first-register")
     rd = F.col("record_date")
     pre, post = rd < F.col("_first"), rd > F.col("_first")
     flags = page_flags(urls)
-    agg = (per_key_join(ev, first, "unique_id", broadcast_small=small).groupBy("unique_id").agg(
+    agg = (ev.join(first, "unique_id").groupBy("unique_id").agg(
         F.count(F.when(pre, F.lit(1))).alias("_n_pre"),
         F.count(F.when(post, F.lit(1))).alias("_n_post"),
         *[F.max(F.when(pre, f)).alias(f"{p}_pre") for p, f in flags.items()],
@@ -383,17 +365,16 @@ def by_date_flags(events: DataFrame, visitors: DataFrame, urls: SiteUrls,
     n_post = F.when(F.col("_n_post") > 0, F.col("_n_post"))
     return agg.select("unique_id", *FLAG_COLUMNS,
                       n_pre.alias("events_pre_register"), n_post.alias("events_post_register"),
-                      F.when(n_post.isNull(), 1).otherwise(0).alias("inmmediately_left_page"),
+                      F.when(n_post.isNull(), 1).otherwise(0).alias("left_at_once"),
                       F.when(n_post > 0, 1).otherwise(0).alias("clicked_around"),
-                      F.when(n_pre.isNull(), 1).otherwise(0).alias("first_action_group_register"),
-                      F.when(n_pre > 0, 1).otherwise(0).alias("first_action_on_site"))
+                      F.when(n_pre.isNull(), 1).otherwise(0).alias("register_first"),
+                      F.when(n_pre > 0, 1).otherwise(0).alias("other_first"))
 
 
 _BY_DATE_COLUMNS = ["unique_id", "first_recorded_date", "organisation_code",
                     "calculated_organisationid", "first_user_event", *FLAG_COLUMNS,
-                    "events_pre_register", "events_post_register", "inmmediately_left_page",
-                    "clicked_around", "first_action_group_register", "first_action_on_site",
-                    "user_id"]
+                    "events_pre_register", "events_post_register", "left_at_once",
+                    "clicked_around", "register_first", "other_first", "user_id"]
 
 
 def register_funnel_by_date(events: DataFrame, registrations: DataFrame, hashes: DataFrame,
@@ -402,23 +383,23 @@ def register_funnel_by_date(events: DataFrame, registrations: DataFrame, hashes:
                             null_aware: bool = False) -> DataFrame:
     """J9: visitors not in ``summary``; every code of the visitor's earliest first-hit time
     is kept (ties too) after dropping excluded organisations; the hash join does not trim."""
-    codes = not_in(register_codes(events, urls), "unique_id", summary, "unique_id", null_aware)
+    marks = event_marks(events, urls)
+    codes = not_in(register_codes(marks, urls), "unique_id", summary, "unique_id", null_aware)
     combined = with_organisation(codes, hashes, trim_hash=False)
-    kept = combined.filter(~F.col("calculated_organisationid").isin(*excluded_orgs))
+    kept = materialize(combined.filter(~F.col("calculated_organisationid").isin(*excluded_orgs)), "kept")
     # MIN() OVER (PARTITION BY unique_id) as an aggregate joined back (NULL ids form one
     # group, hence the null-safe join): no visitor's rows have to meet in one window task.
     earliest = (kept.groupBy(F.col("unique_id").alias("_u"))
                 .agg(F.min("first_recorded_date").alias("_d0")))
-    firsts = (kept.join(earliest, F.col("unique_id").eqNullSafe(F.col("_u")))
-              .filter(F.col("first_recorded_date") == F.col("_d0"))
-              .select("unique_id", "position_find", "first_recorded_date",
-                      "organisation_code", "calculated_organisationid"))
-    firsts = materialize(firsts, "codes")
-    full = materialize(firsts.join(first_identified(events, firsts, with_agent=False),
+    firsts = materialize(kept.join(earliest, F.col("unique_id").eqNullSafe(F.col("_u")))
+                         .filter(F.col("first_recorded_date") == F.col("_d0"))
+                         .select("unique_id", "position_find", "first_recorded_date",
+                                 "organisation_code", "calculated_organisationid"), "codes")
+    slice_ = visitor_events(events, firsts)
+    full = materialize(firsts.join(first_identified(slice_, firsts, with_agent=False),
                                    "unique_id", "left"), "visitors")
-    flags = by_date_flags(events, full.filter(F.col("first_user_event").isNull()), urls)
+    flags = by_date_flags(slice_, full.filter(F.col("first_user_event").isNull()), urls)
     main = (full.join(flags, "unique_id", "left")
             .withColumn("user_id", F.lit(None).cast("long"))
             .select(*_BY_DATE_COLUMNS))
-    joined = _union_distinct(main, b2c_transfers(registrations, events))
-    return _export(joined, events)
+    return _export(_union_distinct(main, b2c_transfers(registrations, marks)), slice_)

@@ -11,13 +11,15 @@ and the final left joins reuse that partitioning.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.bands import activity, cohort, recency
+from ..functions.bands import activity, cohort, described, recency
 from ..functions.dates import (add_months, date_lit, day_boundaries, month_boundaries,
                                second_boundaries, ts_lit)
-from ..params import BACKEND_EVENTS, RfiAverageParams, RfiBands, RfiWindow
+from ..params import LEVEL_TEXTS, BACKEND_EVENTS, RfiAverageParams, RfiBands, RfiWindow
 from ..schemas import RFI_AVERAGE_COLUMNS, RFI_MONTHLY_COLUMNS
 from ..session import materialize
 
@@ -176,15 +178,22 @@ def rfi_average_reading(reading: DataFrame, subscribers: DataFrame) -> DataFrame
 
 def rfi_average(subscriptions: DataFrame, tracking: DataFrame, reading: DataFrame,
                 registrations: DataFrame, user_summary: DataFrame,
-                p: RfiAverageParams = RfiAverageParams(), bands: RfiBands = RfiBands()) -> DataFrame:
+                p: RfiAverageParams | None = None, bands: RfiBands = RfiBands(),
+                describe: bool = False) -> DataFrame:
     """One row per (qualifying subscription x reading-average row) of each non-internal
-    user; ``reporting_history_date`` is the earliest reporting end of the result."""
-    subs = rfi_average_subscribers(subscriptions, p)
+    user; ``reporting_history_date`` is the earliest reporting end of the result. ``describe``
+    adds what the three levels stand for as text columns. Runs its stored stages when called."""
+    p = p or RfiAverageParams()
+    # Stored: read for the activity limits, the reading join and the result.
+    subs = materialize(rfi_average_subscribers(subscriptions, p), "rfi-subscribers")
     # IN (subscribers WHERE ts <= reporting_end) == ts <= the user's latest reporting end.
     # Events are first reduced to one row per (user, day) with the day's earliest time:
     # a day counts as active iff that time is <= the user's reporting end.
     ends = subs.groupBy("user_id").agg(F.max("reporting_end_date").alias("_until"))
-    days = (_not_backend(tracking).filter(F.col("user_id").isNotNull())
+    # Every reporting end lies before the month after the cut-off: the scan is bounded.
+    next_month = (p.cut_off.replace(day=1) + dt.timedelta(days=32)).replace(day=1)
+    days = (_not_backend(tracking).filter(F.col("user_id").isNotNull()
+                                          & (F.col("event_timestamp") < ts_lit(next_month)))
             .groupBy("user_id", F.to_date("event_timestamp").alias("_day"))
             .agg(F.min("event_timestamp").alias("_earliest")))
     last = (days.join(ends, "user_id")
@@ -216,7 +225,13 @@ def rfi_average(subscriptions: DataFrame, tracking: DataFrame, reading: DataFram
     # Stored once: the result is read by the one-row minimum and by the final select, which
     # would otherwise plan and run the whole pipeline twice.
     scored = materialize(j.select("*", (r_score + f_score + i_score).alias("combined_score"),
-                                  cohort(r_level, f_level, i_level).alias("combined_cohort")),
+                                  cohort(r_level, f_level, i_level).alias("combined_cohort"),
+                                  r_level.alias("recency_level"), f_level.alias("frequency_level"),
+                                  i_level.alias("intensity_level")),
                          "rfi-average")
     history = scored.select(F.min("reporting_end_date")).scalar()
-    return scored.withColumn("reporting_history_date", history).select(*RFI_AVERAGE_COLUMNS)
+    out = scored.withColumn("reporting_history_date", history)
+    if not describe:
+        return out.select(*RFI_AVERAGE_COLUMNS)
+    return out.select(*RFI_AVERAGE_COLUMNS, *[
+        described(F.col(f"{name}_level"), texts).alias(f"{name}_description") for name, texts in LEVEL_TEXTS.items()])

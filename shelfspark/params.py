@@ -57,7 +57,7 @@ class RfiWindow:
 class RfiAverageParams:
     cut_off: dt.date = dt.date(2022, 2, 28)
     active_from: dt.date = dt.date(2022, 2, 1)
-    as_of: dt.datetime = dt.datetime(2022, 3, 1)
+    as_of: dt.datetime = field(default_factory=lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
     subscribed_from: dt.date = dt.date(2017, 1, 1)
 
 
@@ -73,6 +73,16 @@ class RfiBands:
     monthly_zero_frequency_label: str | None = None
 
 
+# Texts of the average job's levels A to D, by measure (fixed values).
+LEVEL_TEXTS = {
+    "recency": ("< One Week Since Last Login", "< One Month Since Last Login",
+                "< Three Months Since Last Login", "Three Months+ Since Last Login"),
+    "frequency": ("5+ AVG Active Reading Days Per Month", "2-5 AVG Active Reading Days Per Month",
+                  "< 2 AVG Active Reading Days Per Month", "0 AVG Active Reading Days Per Month"),
+    "intensity": ("60+ AVG Reading Minutes Per Month", "10 - 60 AVG Reading Minutes Per Month",
+                  "< 10 AVG Reading Minutes Per Month", "0 AVG Reading Minutes Per Month"),
+}
+
 # Event names removed before last-active and session calculations (fixed values,
 # spelling of "recieved" as in the data).
 BACKEND_EVENTS = ("payment failed", "payment recieved", "payment refunded", "page close")

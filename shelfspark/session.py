@@ -45,17 +45,21 @@ def apply_job_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only when it is unset (local tests) is a private
-    scratch folder created and registered.
+    The cluster's setting always wins. Only a local master without the setting (tests) gets a
+    private scratch folder; anywhere else a machine's own folder would lose rows, so a missing
+    setting is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
-    path = fallback or tempfile.mkdtemp(prefix="shelfspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    path = tempfile.mkdtemp(prefix="shelfspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)
     return path
@@ -64,13 +68,17 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
 def materialize(df, name: str = "stage"):
     """Write ``df`` as Parquet under the shared checkpoint folder and continue from it.
 
-    Used for small per-visitor tables that later stages read several times. The stored
-    copy cuts the lineage (plans stay small; a lost executor does not force recomputing
-    from the raw events), costs one job (an RDD checkpoint would compute twice), and
-    gives the planner real file sizes, so a small table can be broadcast by Spark's own
-    size threshold while a large one stays a shuffle join.
+    Used for tables that later stages read several times. The stored copy cuts the lineage
+    (plans stay small; a lost executor does not force recomputing from the raw events), costs
+    one job (an RDD checkpoint would compute twice), and gives the planner real file sizes, so
+    a small table can be broadcast by Spark's own size threshold while a large one stays a
+    shuffle join. The folder is deleted when the application ends: the DataFrames a job returns
+    still read it until then.
     """
-    root = ensure_checkpoint_dir(df.sparkSession)
-    path = f"{root.rstrip('/')}/shelfspark-{name}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/shelfspark-{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    jvm = spark.sparkContext._jvm
+    stored = jvm.org.apache.hadoop.fs.Path(path)
+    stored.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(stored)
+    return spark.read.parquet(path)

@@ -44,12 +44,16 @@ def event_tracking(events: DataFrame, urls: SiteUrls = SiteUrls()) -> DataFrame:
             .otherwise(F.lit("unknownhash")))
     url = (F.when(eid % 7 == 0, F.concat(F.lit(urls.register_prefix), code))
            .when(eid % 7 == 1, F.lit(f"{b}/"))
-           .when(eid % 7 == 2, F.lit(f"{b}/home"))
+           .when(eid % 14 == 2, F.lit(f"{b}/home"))
+           .when(eid % 14 == 9, F.lit(f"{b}/mission"))
            .when(eid % 7 == 3, F.lit(f"{b}/pricing"))
            .when(eid % 7 == 4, F.lit(f"{b}/login"))
            .when(eid % 7 == 5, F.concat(F.lit(f"{b}/book/"), _s(eid % 40)))
+           .when(eid % 14 == 6, F.lit(f"{b}/search"))
            .otherwise(F.lit(f"{b}/sign-up")))
-    return events.select(
+    # At-least-once delivery: some events arrive twice.
+    copies = F.when(eid % 41 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return events.withColumn("_copy", F.explode(copies)).select(
         eid.alias("event_id"),
         F.when(eid % 59 == 0, F.lit(None).cast("string"))
          .when(eid % 53 == 0, F.lit("")).otherwise(visitor).alias("unique_id"),
@@ -67,19 +71,27 @@ def event_tracking(events: DataFrame, urls: SiteUrls = SiteUrls()) -> DataFrame:
         F.when(eid % 4 == 0, "GB").when(eid % 4 == 1, "US").when(eid % 4 == 2, "DE")
          .alias("geo_location"),
         F.when(eid % 6 == 0, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("agent"), _s(uid % 5))).alias("user_agent"),
-        F.lit("web").alias("environment_name"),
+         .otherwise(F.concat(F.lit("agent"), _s((uid + eid) % 5))).alias("user_agent"),
+        F.when(eid % 5 == 0, F.lit(None).cast("string")).when(eid % 5 == 1, "app")
+         .otherwise("web").alias("environment_name"),
     )
 
 
+def _earlier(ts: Column, user_id: Column) -> Column:
+    """Spread activity: by user, 0 to 28 days earlier, one user in nine 100 days earlier."""
+    days = F.when(user_id % 9 == 8, 100).otherwise((user_id % 9) * 4).cast("int")
+    return add_days(ts, -days)
+
+
 def user_tracking_events(events: DataFrame) -> DataFrame:
     uid = F.col("user_id")
+    ts = _earlier(F.col("ts"), uid)
     return events.select(
         uid.alias("user_id"),
         F.when(F.col("event_id") % 31 == 0, F.lit(""))
-         .otherwise(F.concat(_s(uid), F.lit("-"), _s(F.dayofmonth("ts")))).alias("session_id"),
+         .otherwise(F.concat(_s(uid), F.lit("-"), _s(F.dayofmonth(ts)))).alias("session_id"),
         _event_name(F.col("event_type")).alias("event_name"),
-        F.col("ts").alias("event_timestamp"),
+        ts.alias("event_timestamp"),
     )
 
 
@@ -108,7 +120,7 @@ def subscriptions(orders: DataFrame) -> DataFrame:
 
 def reading_activity_daily(events: DataFrame) -> DataFrame:
     return (events.filter(F.col("event_type").isin("view", "click"))
-            .groupBy(F.col("user_id"), F.to_date("ts").alias("reading_date"))
+            .groupBy(F.col("user_id"), F.to_date(_earlier(F.col("ts"), F.col("user_id"))).alias("reading_date"))
             .agg(F.sum(F.floor("value").cast("long") * 30).alias("reading_duration_seconds")))
 
 
@@ -158,10 +170,17 @@ def book_meta(part: DataFrame) -> DataFrame:
 
 
 def org_hashes(supplier: DataFrame) -> DataFrame:
-    """Organisation lookup; hashes carry surrounding spaces on purpose (needs TRIM)."""
-    return supplier.select(
-        F.col("s_suppkey").cast("int").alias("organisation_id"),
-        F.concat(F.lit("  orghash"), _s(F.col("s_suppkey")), F.lit(" ")).alias("hash"))
+    """Organisation lookup: a padded plain code per organisation (needs TRIM), and one hash of a
+    kind that varies: plain token, token with a code, code mangled to scientific notation, other.
+    Two organisations share a token."""
+    k = F.col("s_suppkey")
+    token = F.concat(F.left(F.md5(_s(F.expr("s_suppkey div 2"))), F.lit(22)), F.lit("=="))
+    second = (F.when(k % 4 == 0, token)
+              .when(k % 4 == 1, F.concat(token, F.lit("regcode=K"), _s(k)))
+              .when(k % 4 == 2, F.concat(token, F.lit("regcode=1."), _s(k), F.lit("E+10")))
+              .otherwise(F.concat(F.lit("odd-"), _s(k))))
+    hashes = F.array(F.concat(F.lit("  orghash"), _s(k), F.lit(" ")), second)
+    return supplier.select(k.cast("int").alias("organisation_id"), F.explode(hashes).alias("hash"))
 
 
 class Tables:

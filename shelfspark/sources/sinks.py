@@ -2,7 +2,7 @@
 
 The reference appends positional ``INSERT ... SELECT`` results; re-running a period then
 duplicates it. Here every output has a canonical column order (``schemas``), appends
-select that order explicitly, and period loads overwrite only their own partition.
+select that order explicitly, and period loads replace exactly the periods they cover.
 """
 
 from __future__ import annotations
@@ -16,13 +16,30 @@ def append(df: DataFrame, path: str, columns: list[str], fmt: str = "parquet") -
     df.select(*columns).write.mode("append").format(fmt).save(path)
 
 
-def overwrite_period(df: DataFrame, path: str, columns: list[str], period_col: str,
-                     fmt: str = "parquet") -> None:
-    """Replace only the partitions (periods) present in ``df``; re-running a period is
-    idempotent and other periods are untouched."""
-    (df.select(*columns).write.mode("overwrite").format(fmt)
-     .option("partitionOverwriteMode", "dynamic")
+def replace_period(df: DataFrame, path: str, columns: list[str], period_col: str,
+                   periods: list, fmt: str = "parquet") -> None:
+    """Replace whole periods of a table that is stored by period.
+
+    ``periods`` are all values of ``period_col`` that the run covers, whether or not it has
+    rows for them: a period that no longer has rows loses its old ones, so re-running a period
+    is idempotent. Other periods are untouched. The new rows are written first (only the
+    partitions that have rows are overwritten, atomically per task); then the folders of
+    covered periods without rows are removed.
+    """
+    spark = df.sparkSession
+    wanted = [str(p) for p in periods]
+    rows = df.select(*columns).filter(F.col(period_col).cast("string").isin(*wanted))
+    (rows.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "dynamic")
      .partitionBy(period_col).save(path))
+    # At most one row per covered period.
+    filled = {r[0] for r in rows.select(F.col(period_col).cast("string")).distinct().collect()}
+    jvm = spark.sparkContext._jvm
+    for period in wanted:
+        if period not in filled:
+            folder = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{period_col}={period}")
+            fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            if fs.exists(folder):
+                fs.delete(folder, True)
 
 
 def read_table(spark, path: str, schema=None, fmt: str = "parquet") -> DataFrame:
@@ -30,12 +47,3 @@ def read_table(spark, path: str, schema=None, fmt: str = "parquet") -> DataFrame
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path)
-
-
-def empty_like(spark, columns_and_types: list[tuple[str, str]]) -> DataFrame:
-    return spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in columns_and_types))
-
-
-def high_water_mark(table: DataFrame, column: str):
-    """One-row scalar of the latest value in ``column`` (NULL for an empty table)."""
-    return table.select(F.max(column)).scalar()

@@ -16,8 +16,3 @@ def read_domain(spark: SparkSession, name: str, path: str, fmt: str = "parquet")
     event date) are pruned by the jobs' date predicates.
     """
     return spark.read.schema(DOMAIN[name]).format(fmt).load(path)
-
-
-def read_all(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[str, DataFrame]:
-    """Every domain table under ``root/<name>``."""
-    return {name: read_domain(spark, name, f"{root.rstrip('/')}/{name}", fmt) for name in DOMAIN}

@@ -21,15 +21,15 @@ from pyspark.sql import functions as F
 from ..operators.register import register_funnel_backfill, register_funnel_incremental
 from ..params import SiteUrls
 from ..schemas import EVENT_TRACKING, REGISTER_SUMMARY_COLUMNS
+from ..sources import sinks
 
 BATCH_COLUMN = "load_batch"
 BACKFILL_BATCH = -1
 
 
 def _write_batch(rows: DataFrame, summary_path: str, batch_id: int) -> None:
-    (rows.select(*REGISTER_SUMMARY_COLUMNS, F.lit(batch_id).cast("long").alias(BATCH_COLUMN))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BATCH_COLUMN).parquet(summary_path))
+    sinks.replace_period(rows.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("long")), summary_path,
+                         [*REGISTER_SUMMARY_COLUMNS, BATCH_COLUMN], BATCH_COLUMN, [batch_id])
 
 
 def read_summary(spark: SparkSession, summary_path: str, exclude_batch: int | None = None) -> DataFrame:

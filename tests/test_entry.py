@@ -14,4 +14,4 @@ def test_fixture_counts_at_sf0001(spark):
     assert q["session_counts"](spark, sf).count() == 15
     assert q["b2c_churn"](spark, sf).count() == 365
     assert q["user_group_info"](spark, sf).count() == 129
-    assert q["google_page_views"](spark, sf).count() == 11
+    assert q["google_page_views"](spark, sf).count() == 12

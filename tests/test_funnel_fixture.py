@@ -93,10 +93,7 @@ def same(frame, con, sql):
     return sum(got.values())
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_backfill_matches_literal_sql(tables, con, monkeypatch, broadcast):
-    if not broadcast:   # the shuffle-join path used above the visitor broadcast bound
-        monkeypatch.setattr(funnel, "VISITOR_BROADCAST_ROWS", 0)
+def test_backfill_matches_timeline_sql(tables, con):
     events, regs, hashes = tables
     out = funnel.register_funnel_backfill(events, regs, hashes)
     n = same(out, con, O.with_views("SELECT * FROM summary", extra=O.register_ctes("", "event_tracking")))
@@ -116,7 +113,7 @@ def test_pre_post_flags_match_literal_sql(tables, con):
     full = combined.join(funnel.first_identified(events, combined), "unique_id", "left")
     from pyspark.sql import functions as F
     flags = funnel.funnel_flags(events, full.filter(F.col("first_user_event").isNull()), SiteUrls())
-    n = same(flags, con, O.with_views("SELECT * FROM case_statements_list",
+    n = same(flags, con, O.with_views("FROM flags",
                                       extra=O.register_ctes("", "event_tracking")))
     v1 = [r for r in flags.collect() if r["unique_id"] == "v1"]
     assert n >= 4 and len(v1) > 1            # agent groups multiply rows (Q4)
@@ -126,7 +123,7 @@ def test_pre_post_flags_match_literal_sql(tables, con):
 
 
 @pytest.mark.parametrize("null_aware", [False, True])
-def test_incremental_matches_literal_sql(spark, tables, con, null_aware):
+def test_incremental_matches_timeline_sql(spark, tables, con, null_aware):
     events, regs, hashes = tables
     from pyspark.sql import functions as F
     before = events.filter(F.col("record_date") < ts(SPLIT))
@@ -150,10 +147,7 @@ def test_incremental_on_empty_summary_adds_no_register_rows(spark, tables):
     assert [r["unique_id"] for r in out.collect() if r["unique_id"] is not None] == []   # Q2
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_by_date_matches_literal_sql(spark, tables, con, monkeypatch, broadcast):
-    if not broadcast:
-        monkeypatch.setattr(funnel, "VISITOR_BROADCAST_ROWS", 0)
+def test_by_date_matches_timeline_sql(spark, tables, con):
     events, regs, hashes = tables
     from pyspark.sql import functions as F
     before = events.filter(F.col("record_date") < ts(SPLIT))
@@ -182,10 +176,7 @@ def _hot_key_events():
     return rows
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_hot_visitor_matches_literal_sql(spark, monkeypatch, broadcast):
-    if not broadcast:
-        monkeypatch.setattr(funnel, "VISITOR_BROADCAST_ROWS", 0)
+def test_hot_visitor_matches_timeline_sql(spark):
     events = df(spark, "event_tracking", _hot_key_events())
     regs, hashes = df(spark, "user_registrations", REGS), df(spark, "org_hashes", HASHES)
     c = duckdb.connect()
@@ -196,3 +187,25 @@ def test_hot_visitor_matches_literal_sql(spark, monkeypatch, broadcast):
     assert same(out, c, O.with_views("SELECT * FROM summary", extra=O.register_ctes("", "event_tracking"))) > 60
     hot = [r for r in out.collect() if r["unique_id"] == ""]
     assert hot and {r["events_post_register"] for r in hot} <= set(range(402, 1201))
+
+
+@pytest.mark.parametrize("later", [[], ["/home"], ["/home", "/home"]])
+@pytest.mark.parametrize("hits", [1, 2, 3])
+def test_repeated_deliveries_count_as_events(spark, hits, later):
+    """A register hit (and a later page) delivered several times, against the oracle's list."""
+    rows = [ev(1, "d1", "2024-01-10 00:00:00", REG + "orghash1")] * hits
+    rows += [ev(2, "d1", "2024-01-10 00:01:00", B + page) for page in later]
+    rows += [ev(3, "d2", "2024-01-10 00:00:00", B + "/pricing")] * 2 + [ev(4, "d2", "2024-01-11 00:00:00", REG + "orghash2")] * hits
+    events = df(spark, "event_tracking", rows)
+    regs, hashes = df(spark, "user_registrations", REGS), df(spark, "org_hashes", HASHES)
+    c = duckdb.connect()
+    for name, frame in (("event_tracking", events), ("user_registrations", regs), ("org_hashes", hashes)):
+        c.register(f"{name}_pdf", frame.toPandas())
+        c.execute(f"CREATE VIEW {name} AS SELECT * FROM {name}_pdf")
+    out = funnel.register_funnel_backfill(events, regs, hashes)
+    same(out, c, O.with_views("SELECT * FROM summary", extra=O.register_ctes("", "event_tracking")))
+    d1 = next(r for r in out.collect() if r["unique_id"] == "d1")
+    assert d1["events_post_register"] == (hits + len(later) if hits + len(later) > 1 else None)
+    flags = funnel.funnel_flags(events, events.select("unique_id"), SiteUrls())
+    same(flags, c, O.with_views("FROM flags", extra=O.register_ctes("", "event_tracking")))
+    assert {r["unique_id"]: r["register_first"] for r in flags.collect()} == {"d1": 1, "d2": 0}

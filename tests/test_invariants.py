@@ -1,8 +1,10 @@
 """Invariants of SURVEY §5 on the driver tables (sf0.01)."""
 
+import datetime as dt
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
@@ -11,7 +13,7 @@ from shelfspark.operators import register as funnel
 from shelfspark.params import FixtureParams
 from shelfspark.sources import sinks
 from shelfspark.sources.adapters import Tables
-from tests.conftest import SF01
+from tests.conftest import SF001, SF01
 
 P = FixtureParams()
 
@@ -62,12 +64,21 @@ def test_period_overwrite_is_idempotent(spark):
     root = tempfile.mkdtemp(prefix="sink-", dir=os.environ.get("TMPDIR", "/tmp"))
     out = E.queries()["google_first_views_by_day_geo"](spark, SF01)
     cols = out.columns
-    sinks.overwrite_period(out, f"{root}/v", cols, "reporting_period_start")
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(30)]
+    sinks.replace_period(out, f"{root}/v", cols, "reporting_period_start", days)
     n = spark.read.parquet(f"{root}/v").count()
-    sinks.overwrite_period(out, f"{root}/v", cols, "reporting_period_start")
+    sinks.replace_period(out, f"{root}/v", cols, "reporting_period_start", days)
     assert spark.read.parquet(f"{root}/v").count() == n == out.count()
 
 
+def test_period_without_rows_loses_its_old_rows(spark):
+    root = tempfile.mkdtemp(prefix="sink-", dir=os.environ.get("TMPDIR", "/tmp"))
+    rows = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-09")], "n int, day string")
+    sinks.replace_period(rows, f"{root}/v", ["n", "day"], "day", ["2024-01-01", "2024-01-02", "2024-01-09"])
+    sinks.replace_period(rows.filter("n = 1"), f"{root}/v", ["n", "day"], "day", ["2024-01-01", "2024-01-02"])
+    assert sorted(r["n"] for r in spark.read.parquet(f"{root}/v").collect()) == [1, 3]
+
+
 def test_book_views_table_schema_growth(spark):
     """The by-period output (3 columns) and the by-day output (one more, geo_location) go
     to the same reporting table; reads merge the schemas."""
@@ -95,3 +106,47 @@ def test_cli_runs_a_job(spark):
     run(spark, args)    # the period is replaced, not duplicated
     assert spark.read.parquet(f"{root}/views").count() == \
         E.queries()["google_first_views_by_day_geo"](spark, SF01).count()
+
+
+def test_cli_rfi_rerun_and_missing_options(spark):
+    from shelfspark.__main__ import parser, run
+    root = tempfile.mkdtemp(prefix="cli-", dir=os.environ.get("TMPDIR", "/tmp"))
+    args = parser().parse_args(["rfi_monthly", "--driver-dir", SF001, "--out", f"{root}/rfi",
+                                "--start", "2024-01-01", "--cut-off", "2024-01-31"])
+    run(spark, args)
+    run(spark, args)    # replaced, not doubled
+    assert spark.read.parquet(f"{root}/rfi").count() == 514
+    with pytest.raises(SystemExit, match="--cut-off"):
+        run(spark, parser().parse_args(["rfi_average", "--driver-dir", SF001, "--out", f"{root}/a",
+                                        "--active-from", "2024-01-01"]))
+
+
+def test_cli_opens_only_the_tables_of_the_job(spark):
+    from shelfspark.__main__ import parser, run
+    from shelfspark.sources.adapters import Tables
+    root = tempfile.mkdtemp(prefix="cli-", dir=os.environ.get("TMPDIR", "/tmp"))
+    t = Tables(spark, SF001)
+    t.user_tracking_events.write.parquet(f"{root}/tables/user_tracking_events")
+    t.subscriptions.write.parquet(f"{root}/tables/subscriptions")
+    run(spark, parser().parse_args(["session_counts", "--tables", f"{root}/tables", "--out", f"{root}/out"]))
+    assert spark.read.parquet(f"{root}/out").count() == 15
+
+
+def test_checkpoint_folder_is_required_off_local(spark, monkeypatch):
+    from shelfspark import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())

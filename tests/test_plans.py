@@ -4,13 +4,14 @@ column pruning reach the Parquet scan."""
 import pytest
 
 import __spark_entry__ as E
+from shelfspark.plans import catalog
 from shelfspark.plans.inspect import (cartesian_products, plan_text, pushed_filters,
                                       read_schemas, unpartitioned_windows)
 from tests.conftest import SF001
 
 # Queries with stored intermediate tables build those eagerly; their final plans are
 # checked here (the stored stages are checked by the fixture tests).
-NAMES = sorted(E.queries())
+NAMES = sorted(catalog.CATALOG)
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -54,5 +55,30 @@ def test_stored_stages_have_no_cartesian_or_window(spark, monkeypatch):
         E.queries()[name](spark, SF001)
     assert len(texts) >= 8
     for text in texts:
+        assert "BROADCAST" not in text                     # no forced broadcast hint
         assert cartesian_products(text) == []
         assert " Window " not in text and "Window (" not in text
+
+
+def _scans(text: str, table: str) -> int:
+    return sum(1 for line in text.splitlines() if line.startswith("Location:") and f"/{table}.parquet" in line)
+
+
+@pytest.mark.parametrize("name", ["register_funnel_backfill", "register_funnel_incremental",
+                                  "register_funnel_by_date", "register_first_identified",
+                                  "register_pre_post_flags"])
+def test_funnel_scans_the_events_at_most_twice(spark, monkeypatch, name):
+    import shelfspark.operators.register as register
+    from shelfspark.session import materialize as store
+    catalog.prior_summary(spark, SF001)                    # a stored table before a daily run
+    texts = []
+
+    def checked(df, label="stage"):
+        texts.append(plan_text(df))
+        return store(df, label)
+
+    monkeypatch.setattr(register, "materialize", checked)
+    monkeypatch.setattr(catalog, "materialize", checked)
+    texts.append(plan_text(E.queries()[name](spark, SF001)))
+    assert 1 <= sum(_scans(t, "events") for t in texts) <= 2
+    assert any("StringStartsWith" in t or "startswith" in t.lower() for t in texts)
