@@ -1,6 +1,6 @@
 """Named queries of this package and their DuckDB SQL where SQL can express them."""
 
-from shelfspark.llm import bpe, compact_windows, decontaminate, html_extract, near_dedup, quality, secrets, substring_dedup, toxicity, url_filter
+from shelfspark.llm import bpe, compact_windows, decontaminate, html_extract, near_dedup, quality, secrets, sql, substring_dedup, toxicity, url_filter
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
@@ -14,4 +14,4 @@ QUERIES = {
     "op7_html": html_extract.op7_html,
     "op8_url_filter": url_filter.op8_url_filter,
 }
-SQL = {**url_filter.SQL}
+SQL = dict(sql.SQL)

@@ -1,0 +1,51 @@
+"""The queries that SQL can express against their DuckDB SQL."""
+
+import collections
+
+import duckdb
+import pytest
+
+import __spark_entry__ as E
+from shelfspark.llm import sql
+from tests.conftest import SF01
+
+TABLES = ("documents", "pages", "labels", "benchmark")
+
+
+def compare(spark, folder, name):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{folder}/{t}.parquet')")
+    result = con.execute(E.oracle_sql()[name])
+    names = [d[0] for d in result.description]
+    order = sorted(names)
+    want = collections.Counter(tuple(r[names.index(c)] for c in order) for r in result.fetchall())
+    frame = E.queries()[name](spark, folder)
+    assert sorted(frame.columns) == order
+    got = collections.Counter(tuple(r[c] for c in order) for r in frame.collect())
+    assert got == want, (list((got - want).items())[:3], list((want - got).items())[:3])
+    return got
+
+
+@pytest.mark.parametrize("name", sorted(sql.SQL))
+def test_query_matches_its_sql(spark, name):
+    assert compare(spark, SF01, name)
+
+
+def test_secrets_and_quality_on_rows_that_decide(spark, tmp_path):
+    """Entropy spans and certified cutoffs, which the small driver tables do not reach."""
+    import pandas as pd
+    good = "plain words that go on for a while and say nothing new at all to anyone who reads them today or tomorrow"
+    junk = " ".join(f"{c * 6}{k}" for k, c in enumerate("#*$%&|<>" * 5))
+    secret = "key a1B2c3D4e5F6g7H8i9J0kLmNoPqR and 9f8e7d6c5b4a39281706 end token = 'abcdEFGH1234'"
+    rows = [(i, f"{good} {i} " + (junk if i % 10 == 0 else secret if i % 10 == 1 else ""), "en" if i < 7900 else None)
+            for i in range(8000)]
+    pd.DataFrame(rows, columns=["doc_id", "text", "lang"]).to_parquet(tmp_path / "documents.parquet")
+    pd.DataFrame([(i, int(i % 10 != 0), 0) for i in range(8000)], columns=["doc_id", "quality", "toxic"]).to_parquet(
+        tmp_path / "labels.parquet")
+    for t, columns in (("pages", ["page_id", "url", "html"]), ("benchmark", ["item_id", "text"])):
+        pd.DataFrame([(1, *["x"] * (len(columns) - 1))], columns=columns).to_parquet(tmp_path / f"{t}.parquet")
+    quality = compare(spark, str(tmp_path), "op4_quality")
+    assert 0 < sum(n for r, n in quality.items() if not r[0] and not r[2]) < 800     # rejected by a cutoff
+    spans = compare(spark, str(tmp_path), "op3_secrets")
+    assert any("entropy" in str(r) for r in spans)
