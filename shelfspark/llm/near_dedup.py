@@ -11,9 +11,11 @@
    classes and pairs that cannot reach the threshold are dropped. This keeps heavily changed
    members of a large group from being compared with each other; it loses no link.
 4. Each bucket's members are compared on full sets with the bucket's hub (the member with the
-   smallest share of unique shingles). Linked ones form components; then every pair of a bucket
-   whose members are still in different components is compared, so that no link is lost, while
-   groups that hang together are not expanded into pairs.
+   smallest share of unique shingles); linked ones form components. Stars around further hubs
+   follow as long as they join components. Of the pairs that are left in different components,
+   the exact counts against the common hub bound what they can share: only pairs with a large
+   enough part in the hub, or with common shingles outside it, can be linked, and just these
+   are found by joins and compared. So no link is lost, and no bucket is expanded into pairs.
 5. Components by alternating large-star and small-star.
 
 Defined cases: null and empty texts, and texts of white space only, have no shingles and are
@@ -31,6 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shelfspark.llm.common import mix64, read, ship, shingles, stored, to_long, word_hashes
@@ -102,14 +105,23 @@ def _reachable(n_a: Column, own_a: Column, n_b: Column, own_b: Column, percent:
     return 100 * most >= percent * (n_a + n_b - most)
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) whose full sets reach the threshold."""
-    left = sets.select(F.col("id").alias("u"), F.col("shingles").alias("su"))
-    right = sets.select(F.col("id").alias("v"), F.col("shingles").alias("sv"))
-    both = F.size(F.array_intersect("su", "sv"))
-    return (pairs.join(left, "u").join(right, "v")
-            .select("u", "v", (100 * both >= percent * (F.size("su") + F.size("sv") - both)).alias("linked"))
-            .filter("linked").select("u", "v"))
+def _required(n_a: Column, n_b: Column, percent: int) -> Column:
+    """Shingles that two sets must share to reach the threshold."""
+    return F.ceil(percent * (n_a + n_b) / F.lit(100 + percent) - F.lit(1e-9)).cast("long")
+
+
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(id, hub) pairs compared on full sets: sizes, shared shingles, what only ``id`` has."""
+    left = sets.select("id", F.col("shingles").alias("s"))
+    right = sets.select(F.col("id").alias("hub"), F.col("shingles").alias("t"))
+    return (pairs.select("id", "hub").join(left, "id").join(right, "hub")
+            .select("id", "hub", F.size("s").cast("long").alias("n"), F.size("t").cast("long").alias("n_hub"),
+                    F.array_except("s", "t").alias("extra"))
+            .withColumn("both", F.col("n") - F.size("extra")))
+
+
+def _reaches(percent: int) -> Column:
+    return 100 * F.col("both") >= percent * (F.col("n") + F.col("n_hub") - F.col("both"))
 
 
 def links(docs: DataFrame, marked: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
@@ -133,35 +145,86 @@ def links(docs: DataFrame, marked: DataFrame, id_col: str, text_col: str, width:
              .filter(100 * F.col("own") >= percent * F.col("n")))
     places = stored(buckets.join(sized, "id"), "places")
 
-    hubs = places.groupBy("band").agg(
-        F.count(F.lit(1)).alias("size"),
-        F.min(F.struct((1 - F.col("own") / F.col("n")).alias("share"), "id", "n", "own")).alias("hub")).filter("size > 1")
-    pairs = (places.join(hubs, "band")
-             .filter((F.col("hub.id") != F.col("id"))
-                     & _reachable(F.col("n"), F.col("own"), F.col("hub.n"), F.col("hub.own"), percent))
-             .select(F.greatest("id", "hub.id").alias("u"), F.least("id", "hub.id").alias("v")).distinct())
-    pairs = stored(pairs, "hub-pairs")
-    edges = stored(_linked(pairs, sets, percent), "hub-links")
+    def star(members: DataFrame, rank: Column) -> DataFrame:
+        """(band, id, hub) of the members of each bucket that are in another component than its hub."""
+        hubs = members.filter("free").groupBy("band").agg(
+            F.min(F.struct(rank.alias("rank"), "id", "n", "own", "c")).alias("h"))
+        return (members.join(hubs, "band")
+                .filter(F.col("h.c") != F.col("c"))
+                .select("band", "id", F.col("h.id").alias("hub"), _reachable(
+                    F.col("n"), F.col("own"), F.col("h.n"), F.col("h.own"), percent).alias("can")))
+
+    many = places.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("band")
+    first = stored(star(places.join(many, "band").withColumns({"c": F.col("id"), "free": F.lit(True)}),
+                        1 - F.col("own") / F.col("n")), "stars")
+    pairs = first.select("id", "hub").distinct()
+    compared = stored(_compared(pairs, sets), "compared")
+    edges = compared.filter(_reaches(percent)).select(F.col("id").alias("u"), F.col("hub").alias("v"))
     label = stored(components(edges), "labels")
 
-    # Buckets whose members are still in different components: compare what is outside the
-    # bucket's largest component with every member of another component.
-    placed = places.join(label, places["id"] == label["node"], "left").select(
-        "band", "id", "n", "own", F.coalesce("component", "id").alias("c"))
-    by_part = placed.groupBy("band", "c").agg(F.count(F.lit(1)).alias("size"))
-    largest = (by_part.groupBy("band").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("size", "c")).alias("top"))
-               .filter("parts > 1").select("band", F.col("top.c").alias("top")))
-    open_buckets = stored(placed.join(largest, "band"), "open")
-    a, b = open_buckets.alias("a").filter("c <> top"), open_buckets.alias("b")
-    rest = (a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.c") != F.col("b.c"))
-                   & ((F.col("b.c") == F.col("b.top")) | (F.col("a.id") < F.col("b.id")))
-                   & _reachable(F.col("a.n"), F.col("a.own"), F.col("b.n"), F.col("b.own"), percent))
-            .select(F.greatest("a.id", "b.id").alias("u"), F.least("a.id", "b.id").alias("v")).distinct()
-            .join(pairs, ["u", "v"], "left_anti"))
-    more = stored(_linked(stored(rest, "rest-pairs"), sets, percent), "rest-links")
-    if more.isEmpty():
-        return label
-    return components(label.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more))
+    def open_members() -> DataFrame:
+        """Members of the buckets that still hold several components; free: outside the largest."""
+        placed = places.join(label, places["id"] == label["node"], "left").select(
+            "band", "id", "n", "own", F.coalesce("component", "id").alias("c"))
+        tops = (placed.groupBy("band", "c").agg(F.count(F.lit(1)).alias("size")).groupBy("band")
+                .agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("size", "c")).alias("top"))
+                .filter("parts > 1").select("band", F.col("top.c").alias("top")))
+        return placed.join(tops, "band").withColumn("free", F.col("c") != F.col("top"))
+
+    def joined(more: DataFrame) -> DataFrame:
+        return stored(components(label.select(F.col("node").alias("u"), F.col("component").alias("v"))
+                                 .unionByName(more.select(F.col("id").alias("u"), F.col("hub").alias("v")))), "labels")
+
+    # Further stars among what is outside the largest component of a bucket, while they link.
+    turn = 0
+    while True:
+        turn += 1
+        open_now = stored(open_members(), "open")
+        more = star(open_now, F.xxhash64("id", F.lit(turn))).filter("can").select("id", "hub").distinct().join(pairs, ["id", "hub"], "left_anti")
+        more = stored(_compared(stored(more, "star-pairs"), sets).filter(_reaches(percent)).select("id", "hub"), "star-links")
+        if more.isEmpty():
+            break
+        label = joined(more)
+
+    # The rest, without listing the pairs of a bucket. Two members that were compared with the
+    # same hub share at most the smaller of their parts in the hub, and what they share outside
+    # it: a link needs a large enough part in the hub (A), or common shingles outside it (B).
+    own_hub = first.join(open_now.select("band", "id", "c").distinct(), ["band", "id"])
+    rest = stored(own_hub.select("id", "hub", "c").distinct().join(compared, ["id", "hub"])
+                  .select("id", "hub", "c", "n", "both", "extra"), "rest")
+    one = rest.select("hub", F.col("id").alias("a"), F.col("c").alias("c_a"), F.col("n").alias("n_a"), F.col("both").alias("in_a"), "extra")
+    two = rest.select("hub", F.col("id").alias("b"), F.col("c").alias("c_b"), F.col("n").alias("n_b"), F.col("both").alias("in_b"), "extra")
+    smallest = F.ceil(percent * F.col("n_a") / F.lit(100) - F.lit(1e-9)).cast("long")
+    largest = F.floor(F.col("in_a") * F.lit(100 + percent) / percent - F.col("n_a") + F.lit(1e-9)).cast("long")
+    need = _required(F.col("n_a"), F.col("n_b"), percent)
+    inside = (one.filter(smallest <= largest).drop("extra").withColumn("n_b", F.explode(F.sequence(smallest, largest)))
+              .join(two.drop("extra"), ["hub", "n_b"])
+              .filter((F.col("c_a") != F.col("c_b")) & (F.least("in_a", "in_b") >= need)).select("a", "b"))
+    # A link needs at least ``short`` common shingles outside the hub, so one of them is among
+    # all but the ``short - 1`` most frequent ones of either side.
+    smallest_n = rest.groupBy("hub").agg(F.min("n").alias("n_min"))
+    least_n = F.greatest("n_min", F.ceil(percent * F.col("n") / F.lit(100) - F.lit(1e-9)).cast("long"))
+    extras = (rest.join(smallest_n, "hub")
+              .withColumn("short", F.greatest(F.lit(1).cast("long"), _required(F.col("n"), least_n, percent) - F.col("both")))
+              .withColumn("size", F.size("extra").cast("long")).filter("size >= short")
+              .select("hub", "id", "c", "n", "both", "size", "short", F.explode("extra").alias("x")))
+    counts = extras.groupBy("hub", "x").agg(F.count(F.lit(1)).alias("k"))
+    rarest = W.partitionBy("hub", "id").orderBy("k", "x")  # at most one set's shingles each
+    extras = (extras.join(counts, ["hub", "x"]).withColumn("place", F.row_number().over(rarest))
+              .filter("k > 1 and place <= size - short + 1").drop("k", "place", "short"))
+    extras = stored(extras, "extras")
+    one, two = (extras.select("hub", "x", *[F.col(c).alias(f"{c}_{side}") for c in ("id", "c", "n", "both", "size")])
+                for side in ("a", "b"))
+    short = _required(F.col("n_a"), F.col("n_b"), percent) - F.least("both_a", "both_b")
+    outside = (one.join(two, ["hub", "x"])
+               .filter((F.col("c_a") != F.col("c_b")) & (F.col("id_a") < F.col("id_b"))
+                       & (100 * F.col("n_a") >= percent * F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n_a"))
+                       & (F.least("size_a", "size_b") >= short))
+               .select(F.col("id_a").alias("a"), F.col("id_b").alias("b")))
+    rest_pairs = stored(inside.unionByName(outside).select(F.greatest("a", "b").alias("id"), F.least("a", "b").alias("hub"))
+                        .distinct(), "rest-pairs")
+    more = stored(_compared(rest_pairs, sets).filter(_reaches(percent)).select("id", "hub"), "rest-links")
+    return label if more.isEmpty() else joined(more)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
