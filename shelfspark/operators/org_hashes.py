@@ -32,7 +32,9 @@ def org_hash_quality(hashes: DataFrame) -> DataFrame:
     shared = (h.filter(F.col("token") != "")
               .groupBy("token").agg(F.count_distinct("organisation_id").alias("_n_orgs"))
               .filter(F.col("_n_orgs") > 1).select("token"))
-    marked = h.join(shared.withColumn("_shared", F.lit(True)), "token", "left")
+    # Rows without a token would meet in one join key: their own hash, which is no token, spreads them.
+    marked = (h.withColumn("_key", F.when(F.col("token") != "", F.col("token")).otherwise(F.col("hash")))
+              .join(shared.select(F.col("token").alias("_key"), F.lit(True).alias("_shared")), "_key", "left"))
     kind = F.col("kind")
     return marked.groupBy("organisation_id").agg(
         F.count(F.lit(1)).alias("n_hashes"),
