@@ -113,14 +113,23 @@ def text_anchors(texts: list[bytes], length: int = LENGTH, seed: int = SEED):
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
+def squeezed(data: bytes) -> bytes:
+    """Bytes compressed for a shuffle (entropy-coded, which Spark's own shuffle codec is not)."""
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True) if data else b""
+
+
+def unsqueezed(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True) if data else b""
+
+
 def _packets(buckets: int, h: np.ndarray, columns: list[np.ndarray]) -> Iterator[tuple]:
-    """Rows of parallel arrays dealt to buckets by hash: bucket and the packed arrays."""
+    """Rows of parallel arrays dealt to buckets by hash: bucket and the packed, compressed arrays."""
     bucket = (h >> np.uint64(33)) % np.uint64(buckets)
     order = np.argsort(bucket, kind="stable")
     bucket = bucket[order]
     edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
     for lo, hi in zip(edges, np.r_[edges[1:], len(order)]):
-        yield (int(bucket[lo]), *[np.ascontiguousarray(c[order[lo:hi]]).tobytes() for c in columns])
+        yield (int(bucket[lo]), *[squeezed(np.ascontiguousarray(c[order[lo:hi]]).tobytes()) for c in columns])
 
 
 def _unpack(batches: Iterator[pa.RecordBatch], types: list[str]) -> list[np.ndarray]:
@@ -128,7 +137,7 @@ def _unpack(batches: Iterator[pa.RecordBatch], types: list[str]) -> list[np.ndar
     parts = [[] for _ in types]
     for batch in batches:
         for k in range(len(types)):
-            parts[k].extend(x.as_py() for x in batch.column(k + 1))
+            parts[k].extend(unsqueezed(x.as_py()) for x in batch.column(k + 1))
     return [np.frombuffer(b"".join(p), dtype=t) for p, t in zip(parts, types)]
 
 
@@ -185,7 +194,7 @@ def _send_suffixes(buckets: int, length: int, seed: int):
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
                 ids = np.array(part.column(0).to_pylist(), dtype=np.int64)
-                texts = [(x or "").encode() for x in part.column(1).to_pylist()]
+                texts = [unsqueezed(x) for x in part.column(1).to_pylist()]
                 number, at, h = text_anchors(texts, length, seed)
                 if not len(h):
                     continue
@@ -251,7 +260,7 @@ def left_matches(members: list[int], doc: list[int], left: list[int], to_left: l
     return best
 
 
-def _spans(length: int, seed: int):
+def _spans(buckets: int, length: int, seed: int):
     width = length - seed
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,15 +307,10 @@ def _spans(length: int, seed: int):
         if not len(hit):
             return
         # Matches at one anchor all hold the anchor: together they are one span.
-        d, lo, hi = doc[hit], at[hit] - back[hit], at[hit] + forth[hit]
-        order = np.lexsort((lo, d))
-        d, lo, hi = d[order], lo[order], hi[order]
-        edges = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
-        pairs = np.stack([lo, hi], axis=1)
-        blobs = [pairs[a:b].tobytes() for a, b in zip(edges, np.r_[edges[1:], len(d)])]
-        for k in range(0, len(edges), 10_000):
-            yield pa.RecordBatch.from_arrays([pa.array(d[edges[k:k + 10_000]]), pa.array(blobs[k:k + 10_000], pa.binary())],
-                                             ["id", "spans"])
+        rows = list(_packets(buckets, mix64(doc[hit].view(np.uint64)), [doc[hit], at[hit] - back[hit], at[hit] + forth[hit]]))
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32())]
+                                         + [pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2, 3)],
+                                         ["bucket", "doc", "lo", "hi"])
     return run
 
 
@@ -322,21 +326,48 @@ def merged(blobs: list[bytes]) -> np.ndarray:
     return np.stack([pairs[starts, 0], reach[np.r_[starts[1:], len(pairs)] - 1]], axis=1)
 
 
+def squeezed_texts(rows: DataFrame) -> DataFrame:
+    """(id, text) with the text as compressed bytes, so that a join by id moves less."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 500):
+                part = batch.slice(lo, 500)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([squeezed((x.as_py() or "").encode()) for x in part.column(1)], pa.binary())],
+                    ["id", "text"])
+
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, text binary")
+
+
+def _by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(document, packed maximal runs) from the spans of a partition."""
+    doc, lo, hi = _unpack(batches, ["<i8", "<i8", "<i8"])
+    order = np.lexsort((lo, doc))
+    doc, pairs = doc[order], np.stack([lo[order], hi[order]], axis=1)
+    edges = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.empty(0, np.int64)
+    blobs = [merged([pairs[a:b].tobytes()]).astype("<i8").tobytes() for a, b in zip(edges, np.r_[edges[1:], len(doc)])]
+    for k in range(0, len(edges), 10_000):
+        yield pa.RecordBatch.from_arrays([pa.array(doc[edges[k:k + 10_000]]), pa.array(blobs[k:k + 10_000], pa.binary())],
+                                         ["id", "spans"])
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    length: int = LENGTH, seed: int = SEED) -> DataFrame:
-    """id and packed spans (list of binary) of the documents that repeat an earlier one, copies of whole texts aside."""
+    """id and packed maximal runs of the documents that repeat an earlier one, copies of whole texts aside."""
     ship(docs.sparkSession)
     width = shuffle_width(docs)
     buckets = BUCKETS_PER_PARTITION * width
     rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sent = rows.mapInArrow(_send_anchors(buckets, length, seed), "bucket int, h binary, doc binary")
+    # The lists are built after the shuffle: as partial results they would be larger than their rows.
     shared = (sent.repartition(width, "bucket").mapInArrow(_shared_anchors, "id long, h long")
-              .groupBy("id").agg(F.collect_list("h").alias("keys")))
-    suffixes = rows.join(shared, "id").select("id", "text", "keys").mapInArrow(
+              .repartition(width, "id").groupBy("id").agg(F.collect_list("h").alias("keys")))
+    suffixes = squeezed_texts(rows).join(shared, "id").select("id", "text", "keys").mapInArrow(
         _send_suffixes(buckets, length, seed),
         "bucket int, h binary, doc binary, at binary, to_left binary, to_right binary, context binary")
-    return (suffixes.repartition(width, "bucket").mapInArrow(_spans(length, seed), "id long, spans binary")
-            .groupBy("id").agg(F.collect_list("spans").alias("spans")))
+    spans = suffixes.repartition(width, "bucket").mapInArrow(
+        _spans(buckets, length, seed), "bucket int, doc binary, lo binary, hi binary")
+    return spans.repartition(width, "bucket").mapInArrow(_by_document, "id long, spans binary")
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
@@ -350,19 +381,19 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     spans = stored(repeated_spans(docs, id_col, text_col, length, seed), "spans")
     found = spans.join(copies, "id", "full").withColumnRenamed("id", "_id")
     id_type = docs.schema[id_col].dataType
-    rows = (docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
-            .join(found, F.col("_doc").cast("long") == F.col("_id"), "left").select("_doc", "_text", "spans", "copy"))
+    texts = squeezed_texts(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
+    rows = (texts.join(found, F.col("id").cast("long") == F.col("_id"), "left").select("id", "text", "spans", "copy"))
     types = f"{id_col} {id_type.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for text, blobs, copy in zip(*[batch.column(k) for k in (1, 2, 3)]):
-                data = (text.as_py() or "").encode()
+                data = unsqueezed(text.as_py())
                 if copy.as_py() and len(data) >= length:
                     runs = np.array([[0, len(data)]])
                 else:
-                    runs = np.minimum(merged(blobs.as_py() or []), len(data))
+                    runs = np.minimum(np.frombuffer(blobs.as_py() or b"", dtype="<i8").reshape(-1, 2), len(data))
                 kept, at = [], 0
                 for lo, hi in runs.tolist():
                     kept.append(data[at:lo])
