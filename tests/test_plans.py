@@ -82,3 +82,40 @@ def test_funnel_scans_the_events_at_most_twice(spark, monkeypatch, name):
     texts.append(plan_text(E.queries()[name](spark, SF001)))
     assert 1 <= sum(_scans(t, "events") for t in texts) <= 2
     assert any("StringStartsWith" in t or "startswith" in t.lower() for t in texts)
+
+
+def test_stored_domain_tables_get_the_filters(spark, tmp_path, monkeypatch):
+    """On stored domain tables the jobs' predicates and columns reach the Parquet scan."""
+    import shelfspark.operators.register as register
+    import shelfspark.operators.rfi as rfi
+    from shelfspark.operators.google_views import google_page_views
+    from shelfspark.params import FixtureParams
+    from shelfspark.session import materialize as store
+    from shelfspark.sources.adapters import Tables
+    from shelfspark.sources.tables import read_domain
+    t, p = Tables(spark, SF001), FixtureParams()
+    tables = {}
+    for name in ("event_tracking", "user_tracking_events", "subscriptions", "reading_activity_daily",
+                 "user_registrations", "user_summary"):
+        getattr(t, name).write.parquet(f"{tmp_path}/{name}")
+        tables[name] = read_domain(spark, name, f"{tmp_path}/{name}")
+    views = plan_text(google_page_views(tables["event_tracking"], p.period()))
+    filters = " ".join(pushed_filters(views))
+    assert "GreaterThanOrEqual(record_date" in filters and "LessThan(record_date" in filters
+    assert all("user_agent" not in s for s in read_schemas(views))
+    texts = []
+
+    def checked(df, label="stage"):
+        texts.append(plan_text(df))
+        return store(df, label)
+
+    for module in (register, rfi):
+        monkeypatch.setattr(module, "materialize", checked)
+    register.event_marks(tables["event_tracking"], p.urls)
+    assert "StringStartsWith(current_url" in " ".join(pushed_filters(texts[-1]))
+    assert all("environment_name" not in s for s in read_schemas(texts[-1]))
+    rfi.rfi_average(tables["subscriptions"], tables["user_tracking_events"], tables["reading_activity_daily"],
+                    tables["user_registrations"], tables["user_summary"], p.rfi_average())
+    scans = [line for text in texts for line in text.splitlines()
+             if line.startswith("PushedFilters") and "event_timestamp" in line]
+    assert scans and all("LessThan(event_timestamp,2024-02-01" in line for line in scans)
