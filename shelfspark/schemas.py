@@ -56,7 +56,6 @@ REGISTER_SUMMARY_COLUMNS = [
     "group_register_page_count"]
 BOOK_VIEWS_COLUMNS = ["book_id", "reporting_period_start", "unique_first_views"]
 BOOK_VIEWS_GEO_COLUMNS = BOOK_VIEWS_COLUMNS + ["geo_location"]
-BOOK_DLP_COLUMNS = ["book_id", "dlp"]
 CHURN_COLUMNS = [
     "user_id", "first_subscription_start_date", "first_subscription_end_date",
     "first_subscription_cancelled_date", "first_paid_start_date", "first_paid_end_date",
@@ -70,5 +69,3 @@ RFI_AVERAGE_COLUMNS = [
     "user_id", "combined_start_date", "reporting_end_date", "days_since_login",
     "avg_month_reading_days", "avg_month_mins_read", "user_group", "combined_score",
     "reporting_history_date", "combined_cohort"]
-USER_GROUP_COLUMNS = ["user_id", "group_id", "group_name", "group_code", "organisation_name"]
-SESSION_COUNT_COLUMNS = ["user_id", "session_count"]
