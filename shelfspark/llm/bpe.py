@@ -39,7 +39,8 @@ from shelfspark.llm.common import read, ship
 
 # Fixed value: the public pattern that splits a text before byte-level merges.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-WORDS_KEPT = 1_000_000  # encoded words kept per Python worker (a bounded cache, not a cap on input)
+WORDS_KEPT = 400_000  # encoded words kept per Python worker (a bounded cache, not a cap on input)
+ROWS = 500  # texts encoded at a time
 LONGEST_KEPT = 64  # characters; longer words are encoded afresh
 
 
@@ -226,12 +227,12 @@ def tokenizer(packed: bytes) -> Tokenizer:
 
 
 def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id",
-                     text_col: str = "text", keep_text: bool = False) -> DataFrame:
-    """One row per input row: the id column, n_tokens, ids (packed binary) and both digests.
+                     text_col: str = "text", keep_ids: bool = True, keep_text: bool = False) -> DataFrame:
+    """One row per input row: the id column, n_tokens and both digests.
 
     ``vocabulary`` is the path of a byte-level BPE ``tokenizer.json``; the driver reads it and
     broadcasts its bytes, whose size is fixed by the vocabulary and checked (64 MB at most).
-    ``keep_text`` adds the decoded text.
+    ``keep_ids`` adds the ids (packed binary), ``keep_text`` the decoded text.
     """
     ship(docs.sparkSession)
     with open(vocabulary, "rb") as f:
@@ -241,23 +242,27 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id",
     shared = docs.sparkSession.sparkContext.broadcast(packed)
     id_type = docs.schema[id_col].dataType
     fields = [T.StructField(id_col, id_type), T.StructField("n_tokens", T.LongType()),
-              T.StructField("ids", T.BinaryType()), T.StructField("ids_sha256", T.StringType()),
-              T.StructField("decoded_sha256", T.StringType())]
+              T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
+    if keep_ids:
+        fields.append(T.StructField("ids", T.BinaryType()))
     if keep_text:
         fields.append(T.StructField("decoded", T.StringType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer(shared.value)
         for batch in batches:
-            ids = [t.encode(x.as_py() or "") for x in batch.column(1)]
-            back = [t.decode(x) for x in ids]
-            columns = [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                       pa.array(ids, pa.binary()),
-                       pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
-                       pa.array([hashlib.sha256(x.encode()).hexdigest() for x in back], pa.string())]
-            if keep_text:
-                columns.append(pa.array(back, pa.string()))
-            yield pa.RecordBatch.from_arrays(columns, [f.name for f in fields])
+            for lo in range(0, batch.num_rows, ROWS):
+                part = batch.slice(lo, ROWS)
+                ids = [t.encode(x.as_py() or "") for x in part.column(1)]
+                back = [t.decode(x) for x in ids]
+                columns = [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                           pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
+                           pa.array([hashlib.sha256(x.encode()).hexdigest() for x in back], pa.string())]
+                if keep_ids:
+                    columns.append(pa.array(ids, pa.binary()))
+                if keep_text:
+                    columns.append(pa.array(back, pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, [f.name for f in fields])
 
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, T.StructType(fields))
 
@@ -268,5 +273,5 @@ def production_vocabulary() -> str:
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = encode_documents(read(spark, sf_dir, "documents"), production_vocabulary())
+    coded = encode_documents(read(spark, sf_dir, "documents"), production_vocabulary(), keep_ids=False)
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")

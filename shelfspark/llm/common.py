@@ -15,7 +15,7 @@ from shelfspark.session import materialize
 # exactly what ``bytes.split()`` splits on, and ``bytes.lower()`` lower-cases A-Z only.
 WORD = r"[^\x20\x09-\x0D]+"
 
-_MASK = (1 << 64) - 1
+BATCH_ROWS = 2_000
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 _powers = {"n": 0, "up": None, "down": None}
@@ -25,7 +25,11 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the Python workers this package (once per application), as ``--py-files`` would."""
+    """Give the Python workers this package (once per application), as ``--py-files`` would, and
+    bound the Arrow batches: at kilobytes a text, the default of 10,000 rows is tens of megabytes
+    in several copies per task."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return

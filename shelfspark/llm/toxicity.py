@@ -37,6 +37,7 @@ FEATURES = 400  # features of the model, at most
 LEAST_Z = 4.0  # association of a feature with the label, in standard errors
 LEAST_DOCS = 4  # toxic sample documents that have a feature, at least
 SHORTEST, LONGEST = 3, 10  # letters of a word start
+COUNTED = 100_000  # features counted in a worker's memory at a time
 THRESHOLD = 0.3
 SENTENCE = re.compile(r"[^.!?\n]+")
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -197,17 +198,23 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return Model([], [], 0.0)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flushed() -> pa.RecordBatch:
+            keys = list(toxic.keys() | clean.keys())
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.string()), pa.array([toxic[k] for k in keys], pa.int64()),
+                 pa.array([clean[k] for k in keys], pa.int64())], ["feature", "n1", "n0"])
+            toxic.clear()
+            clean.clear()
+            return out
+
         toxic, clean = Counter(), Counter()
         for batch in batches:
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                (toxic if label else clean).update(word_features(text or ""))
-        keys = list(toxic)  # a feature without a toxic document in this partition may still count elsewhere
-        keys += [k for k in clean if k not in toxic]
-        for i in range(0, len(keys), 50_000):
-            part = keys[i:i + 50_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part, pa.string()), pa.array([toxic[k] for k in part], pa.int64()),
-                 pa.array([clean[k] for k in part], pa.int64())], ["feature", "n1", "n0"])
+            for text, label in zip(batch.column(0), batch.column(1)):
+                (toxic if label.as_py() else clean).update(word_features(text.as_py() or ""))
+                if len(toxic) + len(clean) >= COUNTED:  # Spark adds up the partial counts
+                    yield flushed()
+        if toxic or clean:
+            yield flushed()
 
     counts = (rows.select("_text", "_label").mapInArrow(count, "feature string, n1 long, n0 long")
               .groupBy("feature").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
