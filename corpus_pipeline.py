@@ -41,7 +41,7 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.encode_documents(docs, bpe.production_vocabulary()).select(
+    return bpe.encode_documents(docs, bpe.production_vocabulary(), keep_ids=False).select(
         "doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
