@@ -124,6 +124,8 @@ def unsqueezed(data: bytes) -> bytes:
 
 def _packets(buckets: int, h: np.ndarray, columns: list[np.ndarray]) -> Iterator[tuple]:
     """Rows of parallel arrays dealt to buckets by hash: bucket and the packed, compressed arrays."""
+    if not len(h):
+        return
     bucket = (h >> np.uint64(33)) % np.uint64(buckets)
     order = np.argsort(bucket, kind="stable")
     bucket = bucket[order]
@@ -141,6 +143,18 @@ def _unpack(batches: Iterator[pa.RecordBatch], types: list[str]) -> list[np.ndar
     return [np.frombuffer(b"".join(p), dtype=t) for p, t in zip(parts, types)]
 
 
+def _unpack_known(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, documents and whether they are known to be shared, of all rows of a partition."""
+    h, doc, known = [], [], []
+    for batch in batches:
+        for a, b, k in zip(*[batch.column(i) for i in (1, 2, 3)]):
+            h.append(unsqueezed(a.as_py()))
+            doc.append(unsqueezed(b.as_py()))
+            known.append(np.full(len(doc[-1]) // 8, k.as_py()))
+    return (np.frombuffer(b"".join(h), dtype="<u8"), np.frombuffer(b"".join(doc), dtype="<i8"),
+            np.concatenate(known) if known else np.empty(0, dtype=bool))
+
+
 def _send_anchors(buckets: int, length: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -162,25 +176,39 @@ def _send_anchors(buckets: int, length: int, seed: int):
             order = np.lexsort((h, doc))
             doc, h = doc[order], h[order]
             new = np.r_[True, (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])]
-            rows = list(_packets(buckets, h[new], [h[new], doc[new]]))
+            doc, h = doc[new], h[new]
+            # The smallest and the largest document of this batch speak for a hash; the others
+            # are known to share it and are dealt out evenly, so no hash has more than two
+            # rows of a batch in its own bucket.
+            order = np.lexsort((doc, h))
+            doc, h = doc[order], h[order]
+            known = np.zeros(len(h), dtype=bool)
+            known[1:-1] = (h[1:-1] == h[:-2]) & (h[1:-1] == h[2:])
+            rows = [(*r, False) for r in _packets(buckets, h[~known], [h[~known], doc[~known]])]
+            even = mix64(h[known] + doc[known].view(np.uint64))
+            rows += [(*r, True) for r in _packets(buckets, even, [h[known], doc[known]])]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()),
                                               pa.array([r[1] for r in rows], pa.binary()),
-                                              pa.array([r[2] for r in rows], pa.binary())], ["bucket", "h", "doc"])
+                                              pa.array([r[2] for r in rows], pa.binary()),
+                                              pa.array([r[3] for r in rows], pa.bool_())], ["bucket", "h", "doc", "known"])
     return run
 
 
 def _shared_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(document, anchor hash) for the hashes that several documents of the partition have."""
-    h, doc = _unpack(batches, ["<u8", "<i8"])
+    h, doc, known = _unpack_known(batches)
     if not len(h):
         return
-    order = np.lexsort((doc, h))
-    h, doc = h[order], doc[order]
-    new = np.r_[True, h[1:] != h[:-1]]
-    starts = np.flatnonzero(new)
-    last = np.r_[starts[1:], len(h)] - 1
-    shared = (doc[starts] != doc[last])[np.cumsum(new) - 1]
-    h, doc = h[shared], doc[shared]
+    own_h, own_doc = h[~known], doc[~known]
+    order = np.lexsort((own_doc, own_h))
+    own_h, own_doc = own_h[order], own_doc[order]
+    if len(own_h):
+        new = np.r_[True, own_h[1:] != own_h[:-1]]
+        starts = np.flatnonzero(new)
+        last = np.r_[starts[1:], len(own_h)] - 1
+        shared = (own_doc[starts] != own_doc[last])[np.cumsum(new) - 1]
+        own_h, own_doc = own_h[shared], own_doc[shared]
+    h, doc = np.r_[own_h, h[known]], np.r_[own_doc, doc[known]]
     for lo in range(0, len(h), 100_000):
         yield pa.RecordBatch.from_arrays([pa.array(doc[lo:lo + 100_000]), pa.array(h[lo:lo + 100_000].view(np.int64))],
                                          ["id", "h"])
@@ -208,11 +236,28 @@ def _send_suffixes(buckets: int, length: int, seed: int):
                     continue
                 joined = np.frombuffer(b"\0" * left + (b"\0" * length).join(texts) + b"\0" * length, dtype=np.uint8)
                 base = left + np.concatenate([[0], np.cumsum([len(t) + length for t in texts])[:-1]])
-                context = np.lib.stride_tricks.sliding_window_view(joined, size)[base[number] + at - left]
+                context = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(joined, size)[base[number] + at - left])
                 to_left = np.minimum(at, left)
                 to_right = np.minimum(np.array([len(t) for t in texts])[number] - at, length)
-                rows = list(_packets(buckets, h, [h, ids[number], at.astype(np.int64), to_left.astype(np.uint8),
-                                                  to_right.astype(np.uint8), context]))
+                doc = ids[number]
+                # Of equal suffixes in this slice the smallest document's go to their bucket; the
+                # others match it over their whole length, so their spans are known. They are
+                # dealt out evenly, without hash and context.
+                as_bytes = context.view(f"V{size}").ravel()
+                sides = to_left * 256 + to_right
+                order = np.lexsort((doc, sides, h))
+                by, same = as_bytes[order], np.zeros(len(order), dtype=bool)
+                same[1:] = ((h[order][1:] == h[order][:-1]) & (sides[order][1:] == sides[order][:-1])
+                            & (by[1:] == by[:-1]))
+                first = doc[order][np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
+                known = np.zeros(len(order), dtype=bool)
+                known[order] = same & (doc[order] > first)
+                own = ~known
+                columns = [h, doc, at.astype(np.int64), to_left.astype(np.uint8), to_right.astype(np.uint8), context]
+                rows = list(_packets(buckets, h[own], [c[own] for c in columns]))
+                known &= to_left + to_right >= length
+                even = mix64(doc[known].view(np.uint64) + at[known].astype(np.uint64))
+                rows += [(r[0], b"", *r[1:], b"") for r in _packets(buckets, even, [c[known] for c in columns[1:5]])]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows], pa.int32())]
                     + [pa.array([r[k] for r in rows], pa.binary()) for k in range(1, 7)],
@@ -260,13 +305,30 @@ def left_matches(members: list[int], doc: list[int], left: list[int], to_left: l
     return best
 
 
+def _span_packets(buckets: int, doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.RecordBatch:
+    """Spans dealt to buckets by document."""
+    rows = list(_packets(buckets, mix64(doc.view(np.uint64)), [doc, lo.astype(np.int64), hi.astype(np.int64)]))
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32())]
+                                      + [pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2, 3)],
+                                      ["bucket", "doc", "lo", "hi"])
+
+
 def _spans(buckets: int, length: int, seed: int):
     width = length - seed
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        h, doc, at, to_left, to_right, context = _unpack(batches, ["<u8", "<i8", "<i8", "u1", "u1", "u1"])
+        own, known = [], []
+        for batch in batches:  # packets without a context hold known spans
+            has = np.array([len(x.as_py()) > 0 for x in batch.column(6)], dtype=bool)
+            own.append(batch.filter(pa.array(has)))
+            known.append(batch.filter(pa.array(~has)))
+        _, doc, at, to_left, to_right, _ = _unpack(iter(known), ["<u8", "<i8", "<i8", "u1", "u1", "u1"])
+        known = doc, at - to_left, at + to_right
+        h, doc, at, to_left, to_right, context = _unpack(iter(own), ["<u8", "<i8", "<i8", "u1", "u1", "u1"])
         n = len(h)
         if not n:
+            if len(known[0]):
+                yield _span_packets(buckets, *known)
             return
         context = context.reshape(n, width + length)
         right = np.zeros((n, -(-length // 8) * 8), dtype=np.uint8)
@@ -304,13 +366,10 @@ def _spans(buckets: int, length: int, seed: int):
                     if size > forth[x]:
                         forth[x] = size
         hit = np.flatnonzero(forth)
-        if not len(hit):
-            return
         # Matches at one anchor all hold the anchor: together they are one span.
-        rows = list(_packets(buckets, mix64(doc[hit].view(np.uint64)), [doc[hit], at[hit] - back[hit], at[hit] + forth[hit]]))
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32())]
-                                         + [pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2, 3)],
-                                         ["bucket", "doc", "lo", "hi"])
+        found = doc[hit], at[hit] - back[hit], at[hit] + forth[hit]
+        if len(hit) or len(known[0]):
+            yield _span_packets(buckets, *[np.concatenate(x) for x in zip(found, known)])
     return run
 
 
@@ -321,9 +380,11 @@ def merged(blobs: list[bytes]) -> np.ndarray:
         return pairs
     pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
     reach = np.maximum.accumulate(pairs[:, 1])
-    new = np.r_[True, pairs[1:, 0] > reach[:-1]]
-    starts = np.flatnonzero(new)
-    return np.stack([pairs[starts, 0], reach[np.r_[starts[1:], len(pairs)] - 1]], axis=1)
+    cut = np.flatnonzero(pairs[1:, 0] > reach[:-1])
+    out = np.empty((len(cut) + 1, 2), dtype=np.int64)
+    out[0, 0], out[1:, 0] = pairs[0, 0], pairs[cut + 1, 0]
+    out[-1, 1], out[:-1, 1] = reach[-1], reach[cut]
+    return out
 
 
 def squeezed_texts(rows: DataFrame) -> DataFrame:
@@ -358,7 +419,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     width = shuffle_width(docs)
     buckets = BUCKETS_PER_PARTITION * width
     rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sent = rows.mapInArrow(_send_anchors(buckets, length, seed), "bucket int, h binary, doc binary")
+    sent = rows.mapInArrow(_send_anchors(buckets, length, seed), "bucket int, h binary, doc binary, known boolean")
     # The lists are built after the shuffle: as partial results they would be larger than their rows.
     shared = (sent.repartition(width, "bucket").mapInArrow(_shared_anchors, "id long, h long")
               .repartition(width, "id").groupBy("id").agg(F.collect_list("h").alias("keys")))
@@ -366,7 +427,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         _send_suffixes(buckets, length, seed),
         "bucket int, h binary, doc binary, at binary, to_left binary, to_right binary, context binary")
     spans = suffixes.repartition(width, "bucket").mapInArrow(
-        _spans(buckets, length, seed), "bucket int, doc binary, lo binary, hi binary")
+        _spans(width, length, seed), "bucket int, doc binary, lo binary, hi binary")
     return spans.repartition(width, "bucket").mapInArrow(_by_document, "id long, spans binary")
 
 
