@@ -208,6 +208,18 @@ def test_passages_are_found_and_clean_documents_left_alone(spark):
             assert b - a >= compact_windows.LEAST
 
 
+def test_one_changed_word_anywhere_leaves_a_passage():
+    """50 words with one changed word (similarity 41 / 51), between 40 unrelated words on both sides."""
+    passage = words(70, 50)
+    for k in range(5, 45):
+        other = [*passage[:k], "changedword", *passage[k + 1:]]
+        a, b = (shingles(word_hashes(" ".join(words(71 + n, 40) + p + words(81 + n, 40)).encode())[0], 5)
+                for n, p in enumerate((passage, other)))
+        own = set(a[40:86].tolist()), set(b[40:86].tolist())
+        assert 100 * len(own[0] & own[1]) >= 80 * len(own[0] | own[1])
+        assert compact_windows.similar_stretches(a, np.arange(len(a)), b, np.arange(len(b))) == [(40, 85, 40, 85)], k
+
+
 def test_passages_awkward_tables(spark):
     pairs, classes = compact_windows.passages(documents(spark))
     out = compact_windows.summary(documents(spark), pairs, classes).collect()
