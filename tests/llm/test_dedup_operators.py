@@ -208,6 +208,52 @@ def test_passages_are_found_and_clean_documents_left_alone(spark):
             assert b - a >= compact_windows.LEAST
 
 
+def windows_of(text):
+    """Values of a text's compact windows, by hash function."""
+    seq = shingles(word_hashes(text.encode())[0], compact_windows.WIDTH)
+    _, row, key, *_ = compact_windows.compact_windows([seq], compact_windows.LEAST - compact_windows.WIDTH + 1)
+    return collections.defaultdict(set, {r: set(key[row == r].tolist()) for r in range(compact_windows.HASHES)})
+
+
+def test_links_between_members_with_other_hubs_are_found(spark):
+    """Two near copies, each of whose shared values has a smaller document as its hub."""
+    passage = words(90, 55)
+    order = sorted(range(1000, 1200), key=lambda i: int(mix64(np.array([i], dtype=np.uint64))[0]))
+    pair = order[-2:]                                        # neither is the smallest by id or by its hash
+    docs = {i: " ".join(words(91 + k, 60) + passage + words(95 + k, 60)) for k, i in enumerate(pair)}
+    both = [windows_of(docs[pair[0]])[r] & windows_of(docs[pair[1]])[r] for r in range(compact_windows.HASHES)]
+    assert sum(map(len, both)) >= compact_windows.HASHES
+    seq = shingles(word_hashes(" ".join(passage).encode())[0], compact_windows.WIDTH)
+    for r, keys in enumerate(both):
+        for key in keys:
+            at = next(i for i in range(len(seq)) if int(mix64(seq[i:i + 1] + np.uint64(r))[0]) == key)
+            phrase = passage[at:at + compact_windows.WIDTH]
+            docs[order[len(docs)]] = next(t for t in (" ".join(words(5000 + n, 23) + phrase + words(9000 + n, 23))
+                                                      for n in range(500)) if key in windows_of(t)[r])
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    pairs, classes = compact_windows.passages(frame)
+    out = {r["doc_id"]: r["class_id"] for r in compact_windows.summary(frame, pairs, classes).collect()}
+    assert out == {i: min(pair) if i in pair else i for i in docs}
+
+
+def test_classes_equal_brute_force_on_stock_phrases(spark):
+    """Texts of common phrases, a few of which share a passage of 50 words."""
+    rnd = random.Random(12)
+    phrases = [words(400 + k, 6) for k in range(12)]
+
+    def filler(n):
+        return [w for _ in range(n) for w in rnd.choice(phrases) + words(rnd.randrange(10 ** 6), 9)]
+
+    shared = [filler(4)[:50] for _ in range(12)]
+    texts = {i: filler(3) + (shared[i % 12] if i < 36 else []) + filler(3) for i in range(80)}
+    runs = {i: {tuple(t[k:k + 50]) for k in range(len(t) - 49)} for i, t in texts.items()}
+    brute = {i: min(j for j in texts if runs[i] & runs[j]) for i in texts}
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    pairs, classes = compact_windows.passages(frame)
+    out = {r["doc_id"]: r["class_id"] for r in compact_windows.summary(frame, pairs, classes).collect()}
+    assert out == brute
+
+
 def test_one_changed_word_anywhere_leaves_a_passage():
     """50 words with one changed word (similarity 41 / 51), between 40 unrelated words on both sides."""
     passage = words(70, 50)
