@@ -8,12 +8,15 @@ that a copy of any item lies whole in one of them, and each passage queries the
 items at or above the threshold. Before that, a document is passed over if the terms it has
 cannot lift any item to the threshold (an upper bound, so nothing is lost). Retrieved pairs are
 verified: the word n-grams of the item's question and of its answer must both be in the passage.
+The n-grams of a short part are shorter, so that one changed word leaves it half of them, and are
+sought in one stretch of the passage, twice as long as the part. An answer of one word has nothing
+left when it changes: it is judged together with the question.
 
 The index is broadcast in shards of at most ``SHARD`` items; more items mean more passes.
 
 Defined cases: null and empty texts and items match nothing; an item without words is skipped;
 an empty benchmark or document table gives an empty result; repeated items or documents give
-one row per distinct (document, item); rows with a null id are ignored; long texts are searched
+one row per distinct (document, item), different texts of one item id are all searched; rows with a null id are ignored; long texts are searched
 whole; only the id and text columns are read, so other columns may have any name.
 """
 
@@ -58,11 +61,31 @@ def _grams(words: list[bytes], n: int) -> set[tuple[bytes, ...]]:
     return {tuple(words[i:i + n]) for i in range(len(words) - n + 1)}
 
 
+def gram_size(size: int) -> int:
+    """Words of an n-gram, at most NGRAM, of which a changed word leaves half of the part's."""
+    return max(1, min(NGRAM, (size + 1) // 3))
+
+
 def overlap(part: list[bytes], passage: list[bytes]) -> float:
-    """Share of the part's n-grams that the passage has."""
-    n = min(NGRAM, len(part))
+    """Share of the part's n-grams that the passage has; for short n-grams, a stretch of the passage."""
+    n, longest = gram_size(len(part)), min(NGRAM, len(part))
+    own = _grams(part, longest)
+    share = len(own & _grams(passage, longest)) / len(own)
+    if n == longest or share >= OVERLAP:
+        return share
     own = _grams(part, n)
-    return len(own & _grams(passage, n)) / len(own)
+    # Grams in a sliding stretch of 2 * len(part) words, counted as they enter and leave.
+    width, inside, most = 2 * len(part) - n + 1, {}, 0
+    grams = [tuple(passage[i:i + n]) for i in range(len(passage) - n + 1)]
+    for i, g in enumerate(grams):
+        if g in own:
+            inside[g] = inside.get(g, 0) + 1
+            most = max(most, len(inside))
+        if i + 1 >= width and (old := grams[i + 1 - width]) in inside:
+            inside[old] -= 1
+            if not inside[old]:
+                del inside[old]
+    return max(share, most / len(own))
 
 
 class Index:
@@ -189,14 +212,17 @@ class Index:
             if not self.may_match(passage):
                 continue
             for item, score in self.search(passage):
-                question, answer = (overlap(p, passage) for p in self.parts[item])
+                own_question, own_answer = self.parts[item]
+                question, answer = overlap(own_question, passage), overlap(own_answer, passage)
+                if len(own_answer) == 1 and answer < OVERLAP:
+                    answer = overlap(own_question + own_answer, passage)
                 if question >= OVERLAP and answer >= OVERLAP and (item not in best or score > best[item][0]):
                     best[item] = (score, question, answer, start)
         return best
 
 
 def _statistics(items: DataFrame) -> tuple[DataFrame, int, float]:
-    """Distinct terms of every item, number of items with words, mean number of words."""
+    """Distinct terms of every item text, number of texts with words, mean number of words."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -204,10 +230,10 @@ def _statistics(items: DataFrame) -> tuple[DataFrame, int, float]:
                 own = sorted(set(words))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([item] * len(own), pa.int64()), pa.array(own, pa.binary()),
-                     pa.array([len(words)] * len(own), pa.int64())], ["item_id", "term", "size"])
+                     pa.array([len(words) if k == 0 else None for k in range(len(own))], pa.int64())], ["item_id", "term", "size"])
 
     rows = stored(items.mapInArrow(count, "item_id long, term binary, size long"), "item-terms")
-    sizes = rows.select("item_id", "size").distinct().agg(F.count(F.lit(1)).alias("n"), F.avg("size").alias("mean")).first()
+    sizes = rows.agg(F.count("size").alias("n"), F.avg("size").alias("mean")).first()  # one size per text
     return rows, sizes["n"], sizes["mean"] or 1.0
 
 
@@ -218,8 +244,8 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     spark = docs.sparkSession
     schema = ("id long, item_id long, score double, question_overlap double, "
               "answer_overlap double, first_word long")
-    items = (items.filter(F.col(item_col).isNotNull()).groupBy(F.col(item_col).cast("long").alias("item_id"))
-             .agg(F.min(item_text).alias("text")))
+    items = (items.filter(F.col(item_col).isNotNull())
+             .select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text).alias("text")).distinct())
     items = stored(items, "items")
     rows, n_items, mean_size = _statistics(items)
     frequency = stored(rows.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "term-df")
@@ -227,7 +253,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     out = None
     for shard in range(shards):
         own = F.pmod(F.xxhash64("item_id"), F.lit(shards)) == shard
-        texts = [(r["item_id"], r["text"]) for r in items.filter(own).orderBy("item_id").collect()]
+        texts = [(r["item_id"], r["text"]) for r in items.filter(own).orderBy("item_id", "text").collect()]
         used = rows.filter(own).select("term").distinct()
         df = {bytes(r["term"]): r["df"] for r in frequency.join(used, "term", "left_semi").collect()}
         index = spark.sparkContext.broadcast(Index(texts, df, n_items, mean_size))

@@ -229,6 +229,27 @@ def test_decontamination_finds_planted_items(spark, monkeypatch):
     assert decontaminate.contaminated(frame.limit(0), bench).count() == 0
 
 
+def test_decontamination_finds_items_with_an_edited_short_answer(spark):
+    """One changed word, at every place of answers of 1 to 9 words; two texts of one item id."""
+    from tests.llm.fixtures import words
+    items, docs, planted = [], [], set()
+    for size in range(1, 10):
+        question, answer = words(400 + size, 20), words(420 + size, size)
+        items.append((size, " ".join(question) + ". " + " ".join(answer) + "."))
+        for k in range(size):
+            edited = [*answer[:k], "changedword", *answer[k + 1:]]
+            planted.add((10 * size + k, size))
+            docs.append((10 * size + k, " ".join([*words(500 + 10 * size + k, 60), *question, *edited, *words(700 + 10 * size + k, 60)])))
+        if size > 1:
+            docs.append((1000 + size, " ".join([*words(800 + size, 60), *question, *words(820 + size, 60)])))   # question only
+    items += [(20, " ".join(words(440 + k, 20)) + ". " + " ".join(words(450 + k, 6)) + ".") for k in range(2)]
+    docs += [(2000 + k, items[-2 + k][1]) for k in range(2)]
+    planted |= {(2000, 20), (2001, 20)}
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == planted
+
+
 # --- pages -----------------------------------------------------------------------------------------
 def test_html_layouts_and_awkward_pages(spark):
     pages = [(i, f"u{i}", h) for i, h in enumerate(html_extract.labelled_layouts())]
