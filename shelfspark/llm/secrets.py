@@ -6,7 +6,8 @@ least ``SHORTEST`` characters; each belongs to a character class (hexadecimal or
 window of ``WINDOW`` characters slides over it. ``sum(c * log2(c))`` over the window's character
 counts is kept incrementally: one character leaves and one enters per step. Windows whose
 entropy reaches the threshold of their class make a span, from the first to the last of them.
-Candidates that match the allow-list, or overlap a base span, add none.
+Base spans are cut out of the candidates; the pieces of at least ``SHORTEST`` characters that
+are left are candidates like any other. Candidates that match the allow-list add none.
 
 Positions are code points, ends exclusive. Defined cases: null text is empty and has no spans;
 an empty span list hashes the empty string; texts and candidates of any length are scanned
@@ -140,7 +141,21 @@ def _entropy_spans(text: Column, base: Column) -> Column:
                 (span["start"] + x["first"]).alias("start"), (span["start"] + x["last"]).alias("end"),
                 span["kind"].alias("kind"))))))
 
-    free = F.filter(spans, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    def piece(start: Column, end: Column, kind: Column) -> Column:
+        return F.when(end - start >= SHORTEST, F.array(F.struct(
+            start.alias("start"), end.alias("end"), kind.alias("kind")))).otherwise(F.array().cast(SPAN))
+
+    def pieces(s: Column) -> Column:
+        """What the base spans leave of a candidate."""
+        start = F.struct(s["start"].alias("at"), F.array().cast(SPAN).alias("out"))
+        met = F.filter(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+        return let(met, lambda found: F.when(F.size(found) == 0, F.array(s)).otherwise(F.aggregate(
+            F.array_sort(found), start,
+            lambda acc, b: F.struct(F.greatest(acc["at"], b["end"]).alias("at"),
+                                    F.concat(acc["out"], piece(acc["at"], b["start"], s["kind"])).alias("out")),
+            lambda acc: F.concat(acc["out"], piece(acc["at"], s["end"], s["kind"])))))
+
+    free = F.flatten(F.transform(spans, pieces))
     return F.when(text.rlike(CANDIDATE), F.array_compact(F.transform(free, narrowed))).otherwise(F.array().cast(SPAN))
 
 
