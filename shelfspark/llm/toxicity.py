@@ -3,7 +3,9 @@
 A sentence has the probability ``s(z) = 1 / (1 + exp(-z))`` with ``z`` linear in its word
 features; a document is toxic unless every sentence is clean: ``P = 1 - prod(1 - s(z))``. Only
 documents are labelled, so the weights are fitted to document labels through that product, and
-the sentence probabilities then locate the offending sentences.
+the sentence probabilities then locate the offending sentences. Sentences without a feature say
+nothing: all of them together count as one of probability ``s(BIAS)``, and of the others the
+``STRONGEST`` enter, so that no text is toxic by its length.
 
 Features are word starts of 3 to 10 letters and whole words, lower-cased. They are counted on
 Spark over a bounded sample of labelled rows (``SAMPLE`` documents, the smallest hashes of the
@@ -39,6 +41,8 @@ LEAST_DOCS = 4  # toxic sample documents that have a feature, at least
 SHORTEST, LONGEST = 3, 10  # letters of a word start
 COUNTED = 100_000  # features counted in a worker's memory at a time
 THRESHOLD = 0.3
+BIAS = -6.0  # z of a sentence without a feature
+STRONGEST = 8  # sentences of a document that enter its score, at most
 SENTENCE = re.compile(r"[^.!?\n]+")
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -78,7 +82,7 @@ class Finder:
         self.any = bool(features)
 
     def sentences(self, text: str) -> tuple[int, dict[int, list[int]], list[tuple[int, int]]]:
-        """Number of sentences, features by number of the sentence that has them, its span."""
+        """Number of sentences that are not blank, features by number of the sentence that has them, its span."""
         hits = []
         if self.any:
             low = lowered(text)
@@ -91,8 +95,8 @@ class Finder:
                         continue
                     hits.append((start, k))
         if not hits:
-            return len(SENTENCE.findall(text)), {}, []
-        spans = [m.span() for m in SENTENCE.finditer(text)]
+            return sum(not x.isspace() for x in SENTENCE.findall(text)), {}, []
+        spans = [m.span() for m in SENTENCE.finditer(text) if not m[0].isspace()]
         at = np.searchsorted([s for s, _ in spans], [h for h, _ in hits], side="right") - 1
         by: dict[int, list[int]] = {}
         for sentence, (_, k) in zip(at.tolist(), hits):
@@ -120,7 +124,7 @@ def _softplus(z):
 
 
 class Model:
-    """Weights by feature and a bias, with the noisy-or over sentences."""
+    """Weights by feature and a bias, with the noisy-or over the strongest sentences."""
 
     def __init__(self, features: list[str], weights, bias: float):
         self.features, self.weights, self.bias = list(features), np.asarray(weights, dtype=float), float(bias)
@@ -129,10 +133,10 @@ class Model:
         return {s: float(self.bias + self.weights[ks].sum()) for s, ks in by.items()}
 
     def score(self, n: int, by: dict[int, list[int]]) -> float:
-        if not len(self.weights):
+        if not len(self.weights) or not n:
             return 0.0
-        clean = (n - len(by)) * float(_softplus(self.bias))
-        clean += sum(float(_softplus(z)) for z in self.sentence_scores(by).values())
+        strongest = sorted(self.sentence_scores(by).values())[-STRONGEST:]
+        clean = sum(float(_softplus(z)) for z in [self.bias, *strongest])
         return float(-np.expm1(-clean))
 
 
@@ -145,7 +149,7 @@ def fit(features: list[str], rows: list[tuple[int, int, dict[int, list[int]]]],
     labels = np.array([r[0] for r in rows], dtype=float)
     if not features or not len(labels) or labels.min() == labels.max():
         return Model([], [], 0.0)
-    plain = np.array([r[1] - len(r[2]) for r in rows], dtype=float)
+    prior = np.array([float(_softplus(BIAS)) if r[1] else 0.0 for r in rows])
     doc_of, entry_of, feature_of, sentence = [], [], [], 0
     for d, (_, _, by) in enumerate(rows):
         for ks in by.values():
@@ -155,24 +159,25 @@ def fit(features: list[str], rows: list[tuple[int, int, dict[int, list[int]]]],
             sentence += 1
     doc_of, entry_of, feature_of = (np.array(x, dtype=np.int64) for x in (doc_of, entry_of, feature_of))
     n_docs, n_features = len(rows), len(features)
-    theta = np.zeros(n_features + 1)
-    theta[-1] = -6.0
-    m, v = np.zeros_like(theta), np.zeros_like(theta)
+    # Documents of more than STRONGEST sentences with features: their sentences are ranked in each step.
+    crowded = np.flatnonzero(np.bincount(doc_of, minlength=n_docs)[doc_of] > STRONGEST)
+    first = np.searchsorted(doc_of[crowded], doc_of[crowded])
+    w = np.zeros(n_features)
+    m, v = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, steps + 1):
-        w, b = theta[:-1], theta[-1]
-        z = b + np.bincount(entry_of, w[feature_of], minlength=sentence)
-        clean = plain * _softplus(b) + np.bincount(doc_of, _softplus(z), minlength=n_docs)
+        z = BIAS + np.bincount(entry_of, w[feature_of], minlength=sentence)
+        enters = np.ones(sentence)
+        by_score = np.lexsort((-z[crowded], doc_of[crowded]))
+        enters[crowded[by_score]] = np.arange(len(crowded)) - first < STRONGEST
+        clean = prior + np.bincount(doc_of, enters * _softplus(z), minlength=n_docs)
         clean = np.maximum(clean, 1e-9)
         # d(-log likelihood) / d(clean): 1 for clean documents, -exp(-c) / (1 - exp(-c)) for toxic ones
         slope = np.where(labels > 0, -1.0 / np.expm1(np.minimum(clean, 500.0)), 1.0)
-        dz = slope[doc_of] / (1.0 + np.exp(-z))
-        grad = np.empty_like(theta)
-        grad[:-1] = np.bincount(feature_of, dz[entry_of], minlength=n_features) + ridge * w
-        grad[-1] = dz.sum() + (slope * plain).sum() / (1.0 + np.exp(-b))
-        grad /= n_docs
+        dz = enters * slope[doc_of] / (1.0 + np.exp(-z))
+        grad = (np.bincount(feature_of, dz[entry_of], minlength=n_features) + ridge * w) / n_docs
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
-        theta -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-9)
-    return Model(features, theta[:-1], theta[-1])
+        w = w - rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-9)
+    return Model(features, w, BIAS)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,

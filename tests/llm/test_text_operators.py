@@ -203,6 +203,19 @@ def test_noisy_or_gradient_fits_sentences():
     assert model.score(3, {0: [0]}) > 0.8 and model.score(3, {0: [1]}) < 0.3 and model.score(0, {}) == 0.0
 
 
+def test_long_clean_texts_are_not_toxic():
+    """Half of the toxic documents have no feature; clean texts of any length stay, blank fragments or not."""
+    rows_ = [(1, 5, {0: [0]})] * 20 + [(1, 5, {})] * 20 + [(0, 30, {3: [1]})] * 30 + [(0, 30, {})] * 230
+    model = toxicity.fit(["vile", "odd"], rows_)
+    finder = toxicity.Finder(model.features)
+
+    def score(text):
+        return model.score(*finder.sentences(text)[:2])
+
+    assert score("plain words. " * 200_000) < 0.05 and score("an odd thing. " * 200_000) < toxicity.THRESHOLD
+    assert score("plain words. " * 200 + "vile.") > 0.5 and score(" . \n . \t! ") == 0.0
+
+
 # --- decontamination ---------------------------------------------------------------------------
 def test_block_max_wand_returns_all_above_threshold():
     rnd = random.Random(0)
