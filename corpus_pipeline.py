@@ -4,7 +4,7 @@
 2. near_dedup: one document of each near-duplicate group stays (5-word shingles, similarity 0.8).
 3. decontaminate: documents that hold a benchmark item go.
 4. secrets: spans of secrets are replaced by a mark; documents stay.
-5. bpe: ids of every text that is left; the digest of the decoded text.
+5. bpe: ids of every text that is left (packed binary); the digest of the decoded text.
 
 Null texts score 0, are linked with nothing and hold no item or secret: they stay, as empty.
 Rows with a null id stay too. Rows that repeat an id are one document and stay or go together.
@@ -41,8 +41,8 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.encode_documents(docs, bpe.production_vocabulary(), keep_ids=False).select(
-        "doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return bpe.encode_documents(docs, bpe.production_vocabulary()).select(
+        "doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
 
 
 STAGES = [("toxicity", toxicity_stage), ("near_dedup", near_dedup_stage), ("decontaminate", decontaminate_stage),

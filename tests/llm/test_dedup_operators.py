@@ -308,3 +308,14 @@ def test_pipeline_matches_brute_force(spark, tmp_path):
         assert got[i]["ids_sha256"] == hashlib.sha256(own.encode(text)).hexdigest()
         assert got[i]["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "near_dedup", "decontaminate", "secrets", "bpe"]
+
+
+def test_pipeline_returns_the_ids(spark):
+    import corpus_pipeline
+    from shelfspark.llm import bpe
+    docs = spark.createDataFrame([(1, "some words"), (2, None), (3, "naïve 漢字 😀")], "doc_id long, text string")
+    with open(bpe.production_vocabulary(), "rb") as f:
+        own = bpe.Tokenizer(f.read())
+    for r, text in zip(sorted(corpus_pipeline.bpe_stage(spark, docs, "").collect()), ("some words", "", "naïve 漢字 😀")):
+        assert own.decode(bytes(r["ids"])) == text and len(r["ids"]) == 4 * r["n_tokens"]
+        assert hashlib.sha256(bytes(r["ids"])).hexdigest() == r["ids_sha256"]
