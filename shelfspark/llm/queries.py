@@ -1,6 +1,8 @@
 """Named queries of this package and their DuckDB SQL where SQL can express them."""
 
-from shelfspark.llm import bpe, compact_windows, decontaminate, html_extract, near_dedup, quality, secrets, sql, substring_dedup, toxicity, url_filter
+from shelfspark.llm import (
+    bpe, compact_windows, decontaminate, html_extract, near_dedup, pieces, quality, secrets, source_audit, sql, substring_dedup, toxicity,
+    turn_trie, url_filter)
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
@@ -13,5 +15,8 @@ QUERIES = {
     "op6_passages": compact_windows.op6_passages,
     "op7_html": html_extract.op7_html,
     "op8_url_filter": url_filter.op8_url_filter,
+    "op11_sentencepiece": pieces.op11_sentencepiece,
+    "op12_conversation_trie": turn_trie.op12_conversation_trie,
+    "op13_source_audit": source_audit.op13_source_audit,
 }
 SQL = dict(sql.SQL)

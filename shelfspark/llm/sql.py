@@ -126,4 +126,57 @@ SELECT doc_id, n AS n_bytes, CAST(coalesce(list_sum(list_transform(r, lambda x:
            h, 2 * (if(k = 0, 0, r[k].hi)) + 1, 2 * (if(k = len(r), n, r[k + 1].lo) - if(k = 0, 0, r[k].hi)))), '') END)) AS kept_sha256
 FROM h LEFT JOIN listed USING (doc_id)"""
 
-SQL = {**URL_SQL, "op2_near_dedup": NEAR, "op3_secrets": SECRETS, "op4_quality": QUALITY, "op9_substring_dedup": SUBSTRINGS}
+TRIE = """
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, length(coalesce(text, '')) AS n, length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '') AS t
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list({'t': t, 'n': n} ORDER BY turn NULLS FIRST, role, t) AS own FROM turns GROUP BY conv_id),
+taken AS (
+  SELECT conv_id, own, CAST(xor(list_reduce(string_split(CAST(conv_id AS VARCHAR), ''), lambda a, c: list_reduce(
+      list_prepend(xor(a, ord(c)), range(8)), lambda x, k: if(x & 1 = 1, xor(x >> 1, 3988292384), x >> 1)), 4294967295), 4294967295) % 6 AS INTEGER) AS h
+  FROM (SELECT conv_id, own FROM own) x),
+r AS (
+  SELECT a.conv_id, list_concat(coalesce(b.own[:a.h], []), a.own[a.h + 1:]) AS r
+  FROM taken a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 100),
+d AS (SELECT conv_id, r, unnest(range(0, len(r) + 1)) AS depth FROM r),
+node AS (
+  SELECT r[:depth] AS p, depth, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(max(r[depth].n), 0) AS n,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(r) = depth), '')) AS ends_sha256
+  FROM d GROUP BY r[:depth], depth),
+child AS (SELECT p[:depth - 1] AS p, depth - 1 AS depth, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY ALL),
+every AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN child USING (p, depth)),
+under AS (
+  SELECT p[:up] AS p, up AS depth, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * n) AS saved
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM every) x GROUP BY ALL)
+SELECT every.conv_id, every.depth, above.conv_id AS parent_conv_id, every.n_convs, every.n_children, n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, every.ends_sha256
+FROM every JOIN under USING (p, depth) LEFT JOIN every above ON above.depth = every.depth - 1 AND above.p = every.p[:every.depth - 1]"""
+
+AUDIT = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+t AS (SELECT id, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS total FROM t GROUP BY lang, term HAVING count(DISTINCT id) >= 3),
+c AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN k USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v, sum(total) AS n FROM k GROUP BY lang),
+s AS (SELECT lang, source, coalesce(sum(c.n), 0) AS n FROM g LEFT JOIN c USING (lang, source) GROUP BY lang, source),
+p AS (
+  SELECT k.lang, s.source, k.term, coalesce(c.n, 0) AS c, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (s.n::HUGEINT + v.v) AS p,
+         1 + (1000000000::HUGEINT * (k.total + 1)) // (v.n::HUGEINT + v.v) AS q
+  FROM k JOIN s USING (lang) JOIN v USING (lang) LEFT JOIN c ON c.lang = k.lang AND c.source = s.source AND c.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT) FROM p WHERE c > 0 AND p > q)
+SELECT * FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM every) x
+WHERE part = 'pair' OR rank <= 200"""
+
+SQL = {"op12_conversation_trie": TRIE, "op13_source_audit": AUDIT, **URL_SQL, "op2_near_dedup": NEAR, "op3_secrets": SECRETS, "op4_quality": QUALITY, "op9_substring_dedup": SUBSTRINGS}

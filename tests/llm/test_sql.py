@@ -9,7 +9,7 @@ import __spark_entry__ as E
 from shelfspark.llm import sql
 from tests.conftest import SF01
 
-TABLES = ("documents", "pages", "labels", "benchmark")
+TABLES = ("documents", "pages", "labels", "benchmark", "conversations")
 
 
 def compare(spark, folder, name):
