@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
 import re
 import struct
 import zlib
@@ -40,9 +41,11 @@ from shelfspark.llm.common import read, ship
 
 SPACE = "▁"  # fixed value: the mark of white space in pieces
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6  # fixed values: kinds of pieces in a model file
-WORDS_KEPT = 300_000  # encoded words kept per Python worker (a bounded cache, not a cap on input)
+WORDS_KEPT = 300_000  # encoded words in each of two caches of a Python worker (bounded caches, not a cap on input)
 LONGEST_KEPT = 64  # characters; longer words are encoded afresh
 ROWS = 500  # texts encoded at a time
+SCANNED = 60  # characters; neighbours of longer words are kept in a heap
+NEVER = float("inf")
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -142,7 +145,7 @@ class Pieces:
             raise ValueError("only BPE models without user-defined or unused pieces are supported")
         names = [p[1].decode() for p in pieces]
         self.ids = {n: i for i, (n, k) in enumerate(zip(names, kinds)) if k == NORMAL}
-        self.score = {n: struct.unpack("<f", pieces[i].get(2, b"\0\0\0\0"))[0] for n, i in self.ids.items()}
+        self.cost = {n: -struct.unpack("<f", pieces[i].get(2, b"\0\0\0\0"))[0] for n, i in self.ids.items()}
         self.unknown = kinds.index(UNKNOWN)
         fallback = {int(n[3:5], 16): i for i, (n, k) in enumerate(zip(names, kinds)) if k == BYTE}
         self.fallback = [fallback[b] for b in range(256)] if trainer.get(35, 0) else None
@@ -151,12 +154,18 @@ class Pieces:
         self.map = CharacterMap(normaliser[2]) if normaliser.get(2) else None
         self.by_word = all(self.space not in n.lstrip(self.space) for n in self.ids)
         self.words = re.compile(f"{self.space}+[^{self.space}]*|[^{self.space}]+").findall
-        self.raw = {i: b for b, i in fallback.items()}
+        self.beside = {n[i:i + 2] for n in self.ids for i in range(len(n) - 1)}
+        self.packed = {n: struct.pack("<I", i) for n, i in self.ids.items()}
+        self.decimal = [str(i) for i in range(len(names))]
+        self.raw = np.full(len(names), -1)  # the byte of a byte piece
+        self.raw[list(fallback.values())] = list(fallback)
+        self.width = np.array([len(n.encode()) if k == NORMAL else 0 for n, k in zip(names, kinds)], np.int64)
         self.kinds, self.names, self.kind = kinds, names, np.array(kinds, np.int8)
         surface = trainer.get(44, " ⁇ ".encode())
-        self.label = [{CONTROL: b"", UNKNOWN: surface, BYTE: bytes([self.raw.get(i, 0)])}.get(
+        self.label = [{CONTROL: b"", UNKNOWN: surface, BYTE: bytes([max(self.raw[i], 0)])}.get(
             k, n.replace(SPACE, " ").encode()) for i, (n, k) in enumerate(zip(names, kinds))]
-        self.cache: dict[str, tuple[str, bytes, bytes]] = {}
+        self.cache: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}  # the cache before it was full last
 
     # --- normalisation -------------------------------------------------------------------
     def normalise(self, text: str) -> tuple[str, np.ndarray]:
@@ -189,14 +198,27 @@ class Pieces:
     # --- merges ----------------------------------------------------------------------------
     def _merge(self, word: str) -> list[str]:
         """Pieces of a word: the best-scoring neighbours are joined first, leftmost on ties."""
+        if len(word) > SCANNED:
+            return self._merge_long(word)
+        part, cost = list(word), self.cost
+        costs = [cost.get(a + b, NEVER) for a, b in zip(part, part[1:])]
+        while costs and (best := min(costs)) is not NEVER:
+            i = costs.index(best)
+            joined = part[i] = part[i] + part.pop(i + 1)
+            del costs[i]
+            if i < len(costs):
+                costs[i] = cost.get(joined + part[i + 1], NEVER)
+            if i:
+                costs[i - 1] = cost.get(part[i - 1] + joined, NEVER)
+        return part
+
+    def _merge_long(self, word: str) -> list[str]:
+        """The same with a heap of neighbours, for words in which a scan for each merge is slow."""
         part: list[str | None] = list(word)
         n = len(part)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        score, heap = self.score, []
-        for i in range(n - 1):
-            s = score.get(word[i:i + 2])
-            if s is not None:
-                heap.append((-s, i, word[i:i + 2]))
+        cost = self.cost
+        heap = [(c, i, word[i:i + 2]) for i in range(n - 1) if (c := cost.get(word[i:i + 2])) is not None]
         heapq.heapify(heap)
         while heap:
             _, i, joined = heapq.heappop(heap)
@@ -207,51 +229,77 @@ class Pieces:
             j = after[i] = after[j]
             if j < n:
                 before[j] = i
-                s = score.get(both := joined + part[j])
-                if s is not None:
-                    heapq.heappush(heap, (-s, i, both))
+                if (c := cost.get(both := joined + part[j])) is not None:
+                    heapq.heappush(heap, (c, i, both))
             h = before[i]
-            if h >= 0:
-                s = score.get(both := part[h] + joined)
-                if s is not None:
-                    heapq.heappush(heap, (-s, h, both))
+            if h >= 0 and (c := cost.get(both := part[h] + joined)) is not None:
+                heapq.heappush(heap, (c, h, both))
         return [p for p in part if p is not None]
 
-    def _word(self, word: str) -> tuple[str, bytes, bytes]:
-        """Decimal ids, packed ids and packed sizes in normalised bytes of a word's pieces."""
-        ids, sizes = [], []
-        for piece in self._merge(word):
-            data = piece.encode()
-            found = self.ids.get(piece)
-            if found is not None or self.fallback is None:
-                ids.append(self.unknown if found is None else found)
-                sizes.append(len(data))
-            else:
-                ids += [self.fallback[b] for b in data]
-                sizes += [0] * (len(data) - 1) + [len(data)]
-        if self.fallback is None:  # neighbouring unknown characters are one piece
-            for k in range(len(ids) - 1, 0, -1):
-                if ids[k] == ids[k - 1] == self.unknown:
-                    sizes[k - 1] += sizes.pop(k)
-                    del ids[k]
-        done = ",".join(map(str, ids)), np.array(ids, "<u4").tobytes(), np.array(sizes, "<u4").tobytes()
+    def _ids(self, word: str) -> bytes:
+        """Packed ids of a word that is not in the cache."""
+        if (known := self.before.get(word)) is not None:
+            self._keep(word, known)
+            return known
+        ids = []
+        for part in self._parts(word):
+            found = self.cache.get(part) or self.before.get(part)
+            if found is None:
+                pieces = self._merge(part)
+                try:
+                    found = b"".join([self.packed[p] for p in pieces])
+                except KeyError:
+                    found = b"".join([self._piece(p) for p in pieces])
+                self._keep(part, found)
+            ids.append(found)
+        packed = b"".join(ids)
+        if len(ids) != 1:
+            self._keep(word, packed)
+        return packed
+
+    def _parts(self, word: str) -> list[str]:
+        """A word cut between neighbours that no piece holds side by side: no merge crosses a cut."""
+        cuts = [i for i, pair in enumerate(map(str.__add__, word, word[1:]), 1) if pair not in self.beside]
+        return [word[i:j] for i, j in zip([0, *cuts], [*cuts, len(word)])] if cuts else [word]
+
+    def _piece(self, piece: str) -> bytes:
+        known = self.packed.get(piece)
+        if known is None and self.fallback is not None:
+            return np.array([self.fallback[b] for b in piece.encode()], "<u4").tobytes()
+        return known or struct.pack("<I", self.unknown)
+
+    def _keep(self, word: str, ids: bytes) -> None:
         if len(word) <= LONGEST_KEPT:
             if len(self.cache) >= WORDS_KEPT:
-                self.cache.clear()
-            self.cache[word] = done
-        return done
+                self.before, self.cache = self.cache, {}
+            self.cache[word] = ids
+
+    def _sizes(self, ids: np.ndarray) -> np.ndarray:
+        """Normalised bytes of every piece; a character's byte pieces are empty but for the last."""
+        sizes = self.width[ids]
+        raw = self.raw[ids]
+        if (raw >= 0).any():
+            lead = np.flatnonzero((raw >= 0) & (raw & 0xC0 != 0x80))
+            wide = np.searchsorted([0x80, 0xE0, 0xF0], raw[lead], "right") + 1  # bytes by the first of them
+            sizes[lead + wide - 1] = wide
+        return sizes
 
     def encode(self, text: str) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
         """Decimal ids joined by commas, the ids, and start and end byte of every piece in the text."""
         norm, align = self.normalise(text)
-        # Unknown pieces of neighbouring words may join, so without byte fallback a text is one word.
-        words = self.words(norm) if self.by_word and self.fallback is not None else [norm] if norm else []
-        get, encode = self.cache.get, self._word
-        found = [get(w) or encode(w) for w in words]
-        ids = np.frombuffer(b"".join([f[1] for f in found]), "<u4")
-        size = np.frombuffer(b"".join([f[2] for f in found]), "<u4")
-        hi = np.cumsum(size, dtype=np.int64)
-        return ",".join([f[0] for f in found]), ids, align[hi - size], align[hi]
+        get, encode = self.cache.get, self._ids
+        if self.fallback is not None:
+            words = self.words(norm) if self.by_word else [norm] if norm else []
+            ids = np.frombuffer(b"".join([get(w) or encode(w) for w in words]), "<u4")
+            size = self._sizes(ids)
+        else:  # neighbouring unknown characters are one piece, over the ends of words too
+            found = [(p, self.ids.get(p, self.unknown)) for p in (self._merge(norm) if norm else [])]
+            joined = [(i, sum(len(p.encode()) for p, _ in run)) for (i, _), run in itertools.groupby(
+                found, lambda f, n=itertools.count(): (f[1], 0 if f[1] == self.unknown else next(n) + 1))]
+            ids, size = np.array([j[0] for j in joined], "<u4"), np.array([j[1] for j in joined], np.int64)
+        hi = np.cumsum(size)
+        decimal = self.decimal
+        return ",".join([decimal[i] for i in ids.tolist()]), ids, align[hi - size], align[hi]
 
     # --- decoding ----------------------------------------------------------------------------
     def decode(self, ids: np.ndarray) -> str:
@@ -317,7 +365,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
     ``path`` is a SentencePiece ``.model`` file; the driver reads it and broadcasts its bytes,
     whose size is fixed by the model and checked (64 MB at most). ``keep_pieces`` adds the ids and
     the start and end bytes of the pieces (arrays), ``keep_text`` the decoded text. The spans'
-    digest is that of start and end of every piece as little-endian 64-bit integers.
+    digest is that of start and end of every piece as little-endian unsigned 32-bit integers.
     """
     ship(docs.sparkSession)
     with open(path, "rb") as f:
@@ -346,7 +394,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
                 for text in part.column(1):
                     joined, ids, lo, hi = m.encode(text.as_py() or "")
                     back = m.decode(ids)
-                    row = [len(ids), sha(joined.encode()), sha(np.stack([lo, hi], 1).astype("<i8").tobytes()), sha(back.encode())]
+                    row = [len(ids), sha(joined.encode()), sha(np.array([lo, hi], "<u4").T.tobytes()), sha(back.encode())]
                     row += [ids.astype(np.int32), lo, hi] if keep_pieces else []
                     for column, value in zip(out, row + ([back] if keep_text else [])):
                         column.append(value)
