@@ -61,6 +61,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--exclude-organisations", type=lambda x: tuple(int(i) for i in x.split(",")),
                    default=EXCLUDED_ORGANISATIONS, help="register_funnel_by_date: comma-separated ids")
     p.add_argument("--null-aware", action="store_true")
+    p.add_argument("--run-id", help="name of the load: a load that failed is repeated under the same name, one that is done adds nothing")
     p.add_argument("--fix-eur", action="store_true")
     return p
 
@@ -105,7 +106,7 @@ def run(spark, args) -> None:
         out = fn(table("event_tracking"), period)
         days = [args.start + dt.timedelta(days=i) for i in range((args.end - args.start).days)]
         covered = days if j == "google_first_views_by_day_geo" else [period.period_start]
-        sinks.replace_period(out, args.out, out.columns, "reporting_period_start", covered)
+        sinks.replace_period(out, args.out, out.columns, "reporting_period_start", covered, run_id=args.run_id)
         return
     elif j == "b2c_churn":
         out = churn.b2c_churn(table("subscriptions"), now)
@@ -126,7 +127,7 @@ def run(spark, args) -> None:
                               table("reading_activity_daily"), table("user_registrations"),
                               RfiWindow(start=args.start, cut_off=args.cut_off, min_days=args.min_days,
                                         subscribed_from=args.subscribed_from))
-        sinks.replace_period(out, args.out, out.columns, "reporting_start_date", [args.start])
+        sinks.replace_period(out, args.out, out.columns, "reporting_start_date", [args.start], run_id=args.run_id)
         return
     elif j == "rfi_average":
         out = rfi.rfi_average(table("subscriptions"), table("user_tracking_events"),
@@ -136,11 +137,11 @@ def run(spark, args) -> None:
                                                as_of=now, subscribed_from=args.subscribed_from))
         # The history date is the same for all rows of a run; the run is stored by its cut-off.
         out = out.withColumn("cut_off_date", F.lit(args.cut_off))
-        sinks.replace_period(out, args.out, out.columns, "cut_off_date", [args.cut_off])
+        sinks.replace_period(out, args.out, out.columns, "cut_off_date", [args.cut_off], run_id=args.run_id)
         return
     else:
         out = org_hashes.org_hash_quality(hashes())
-    sinks.append(out, args.out, out.columns)
+    sinks.append(out, args.out, out.columns, run_id=args.run_id)
 
 
 def main(argv=None) -> None:

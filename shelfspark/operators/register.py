@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.counters import Counters, counted
 from ..functions.joins import not_in
 from ..functions.urls import code_as_org_id, is_register_page, org_code, position_find
 from ..params import EXCLUDED_ORGANISATIONS, SiteUrls
@@ -289,15 +290,21 @@ def _export(joined: DataFrame, events: DataFrame) -> DataFrame:
 
 # --- J7 / J8 ----------------------------------------------------------------------------
 def register_org_codes(events: DataFrame, hashes: DataFrame, urls: SiteUrls = SiteUrls(),
-                       summary: DataFrame | None = None, null_aware: bool = False) -> DataFrame:
+                       summary: DataFrame | None = None, null_aware: bool = False,
+                       counters: Counters | None = None) -> DataFrame:
     """Combined_Table: first code per visitor with its organisation id. With ``summary``
     (J8): visitors already reported are dropped and only first hits at or after the
-    summary's latest first date are ranked."""
+    summary's latest first date are ranked. ``counters`` counts visitors without an id, without
+    a code, and with a code that leads to no organisation (these are not exported)."""
     codes = register_codes(events, urls)
     if summary is not None:
         codes = not_in(codes, "unique_id", summary, "unique_id", null_aware)
         codes = codes.filter(F.col("first_recorded_date") >= high_water_mark(summary))
-    return with_organisation(first_code_per_visitor(codes), hashes, trim_hash=True)
+    found = with_organisation(first_code_per_visitor(codes), hashes, trim_hash=True)
+    code = F.col("organisation_code")
+    return counted(counters, found, register_visitors=F.lit(True), register_without_visitor=F.col("unique_id").isNull(),
+                   register_without_code=code.isNull() | (code == ""),
+                   unreadable_codes=(code != "") & F.col("calculated_organisationid").isNull())
 
 
 def high_water_mark(summary: DataFrame) -> Column:
@@ -317,11 +324,11 @@ def register_rejoined(slice_: DataFrame, combined: DataFrame, urls: SiteUrls,
 
 
 def register_funnel_backfill(events: DataFrame, registrations: DataFrame, hashes: DataFrame,
-                             urls: SiteUrls = SiteUrls()) -> DataFrame:
+                             urls: SiteUrls = SiteUrls(), counters: Counters | None = None) -> DataFrame:
     """J7: the 23-column register summary over the whole event history. Runs its stored stages
     when called; the returned DataFrame reads them."""
     marks = event_marks(events, urls)
-    combined = materialize(register_org_codes(marks, hashes, urls), "codes")
+    combined = materialize(register_org_codes(marks, hashes, urls, counters=counters), "codes")
     slice_ = visitor_events(events, combined)
     main = register_rejoined(slice_, combined, urls)
     return _export(_union_distinct(main, b2c_transfers(registrations, marks)), slice_)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.bands import activity, cohort, described, recency
 from ..functions.dates import (add_months, date_lit, day_boundaries, month_boundaries,
                                second_boundaries, ts_lit)
+from ..functions.days import bit_of, distinct_days, word_of
 from ..params import LEVEL_TEXTS, BACKEND_EVENTS, RfiAverageParams, RfiBands, RfiWindow
 from ..schemas import RFI_AVERAGE_COLUMNS, RFI_MONTHLY_COLUMNS
 from ..session import materialize
@@ -86,13 +87,14 @@ def rfi_activity(tracking: DataFrame, subscribers: DataFrame, w: RfiWindow) -> D
 
 
 def rfi_reading_days(reading: DataFrame, subscribers: DataFrame, w: RfiWindow) -> DataFrame:
-    """user_id, active_reading_days: distinct reading dates in [start, cut-off]."""
+    """user_id, active_reading_days: distinct reading dates in [start, cut-off], as bits of one
+    or a few longs per user."""
     rd = F.col("reading_date")
     users = subscribers.select("user_id").distinct()
     return (reading.filter((rd >= ts_lit(w.start)) & (rd <= ts_lit(w.cut_off)))
             .join(users, "user_id", "left_semi")
             .groupBy("user_id")
-            .agg(F.count_distinct(F.to_date(rd)).alias("active_reading_days")))
+            .agg(distinct_days(rd, w.start, w.cut_off).alias("active_reading_days")))
 
 
 def rfi_monthly(subscriptions: DataFrame, tracking: DataFrame, reading: DataFrame,
@@ -159,16 +161,30 @@ def _round_ratio(num: Column, den: Column) -> Column:
 def rfi_average_reading(reading: DataFrame, subscribers: DataFrame) -> DataFrame:
     """Reading days and minutes over each subscription's life (duration > 0), grouped by
     user and month count (a user's subscriptions with equal month counts merge), and the
-    per-month averages rounded to one decimal."""
-    subs = subscribers.select("user_id", "combined_start_date", "reporting_end_date",
-                              "reporting_months")
+    per-month averages rounded to one decimal.
+
+    Reading is reduced to one row per user and day, then to one per user and word of 64 days
+    (at most 64 days with their seconds) before it meets the subscriptions, so a subscription
+    fans out over its life's words, not over reading rows; of the words at the ends of a life
+    the days outside are left out. Days that several lives share are or-ed, seconds add up.
+    """
     rd = F.col("reading_date")
-    joined = (reading.filter(F.col("reading_duration_seconds") > 0)
-              .join(subs, "user_id")
-              .filter((rd >= F.col("combined_start_date")) & (rd <= F.col("reporting_end_date"))))
-    per = (joined.groupBy("user_id", "reporting_months")
-           .agg(F.count_distinct(F.to_date(rd)).alias("total_reading_days"),
-                F.sum("reading_duration_seconds").alias("_seconds")))
+    words = (reading.filter(F.col("reading_duration_seconds") > 0)
+             .groupBy("user_id", F.to_date(rd).alias("day")).agg(F.sum("reading_duration_seconds").alias("seconds"))
+             .groupBy("user_id", word_of(F.col("day")).alias("word"))
+             .agg(F.collect_list(F.struct("day", bit_of(F.col("day")).alias("bit"), "seconds")).alias("days")))
+    start, end = F.col("combined_start_date"), F.col("reporting_end_date")
+    lives = subscribers.select("user_id", "reporting_months", start, end, word_of(start).alias("first_word"), word_of(end).alias("last_word"))
+    zero = F.lit(0).cast("long")
+    inside = F.filter("days", lambda d: (d["day"] >= start) & (d["day"] <= end))
+    met = (lives.join(words, "user_id").filter(F.col("word").between(F.col("first_word"), F.col("last_word")))
+           .select("user_id", "reporting_months", "word", inside.alias("days")).filter(F.size("days") > 0))
+    per = (met.select("user_id", "reporting_months", "word",
+                      F.aggregate("days", zero, lambda a, d: a.bitwiseOR(d["bit"])).alias("bits"),
+                      F.aggregate("days", zero, lambda a, d: a + d["seconds"]).alias("seconds"))
+           .groupBy("user_id", "reporting_months", "word").agg(F.bit_or("bits").alias("bits"), F.sum("seconds").alias("seconds"))
+           .groupBy("user_id", "reporting_months").agg(F.sum(F.bit_count("bits")).cast("long").alias("total_reading_days"),
+                                                       F.sum("seconds").alias("_seconds")))
     months = F.col("reporting_months")
     return per.select(
         "user_id", "reporting_months", "total_reading_days",

@@ -65,6 +65,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name below the shared checkpoint folder, deleted when the application ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/shelfspark-{name}-{uuid.uuid4().hex}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(folder)
+    fs.deleteOnExit(folder)
+    return path
+
+
 def materialize(df, name: str = "stage"):
     """Write ``df`` as Parquet under the shared checkpoint folder and continue from it.
 

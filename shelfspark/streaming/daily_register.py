@@ -6,11 +6,11 @@ stored summary (``foreachBatch``). ``trigger(availableNow=True)`` processes what
 arrived and stops, so a scheduler can start it daily; the stream checkpoint records which
 files were handled.
 
-Each batch writes its rows into the summary partition ``load_batch=<batch id>`` with a
-dynamic partition overwrite, and computes the increment against the summary *without*
-that partition, so a batch retried after a failure rewrites the same rows instead of
-appending them twice. The increment itself reads the whole event table: the funnel needs
-every event of a new visitor, not only those in the new files.
+The batch's events go into a ``VisitorState`` (``operators.visitor_state``): the event store, kept by
+day and visitor bucket, and the merged first hits and account creations. The increment is found
+in that state, and history is read only for the buckets of the visitors it reports. Every write
+of a batch is a run with the batch's id, and the increment is computed against the summary
+*without* the batch's own partition, so a batch retried after a failure gives the same rows once.
 """
 
 from __future__ import annotations
@@ -18,7 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.register import register_funnel_backfill, register_funnel_incremental
+from ..operators.register import register_funnel_backfill
+from ..operators.visitor_state import VisitorState
 from ..params import SiteUrls
 from ..schemas import EVENT_TRACKING, REGISTER_SUMMARY_COLUMNS
 from ..sources import sinks
@@ -29,7 +30,7 @@ BACKFILL_BATCH = -1
 
 def _write_batch(rows: DataFrame, summary_path: str, batch_id: int) -> None:
     sinks.replace_period(rows.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("long")), summary_path,
-                         [*REGISTER_SUMMARY_COLUMNS, BATCH_COLUMN], BATCH_COLUMN, [batch_id])
+                         [*REGISTER_SUMMARY_COLUMNS, BATCH_COLUMN], BATCH_COLUMN, [batch_id], run_id=f"batch{batch_id}")
 
 
 def read_summary(spark: SparkSession, summary_path: str, exclude_batch: int | None = None) -> DataFrame:
@@ -50,14 +51,15 @@ def backfill(spark: SparkSession, events_path: str, registrations: DataFrame, ha
 def start_daily_register(spark: SparkSession, events_path: str, registrations: DataFrame,
                          hashes: DataFrame, summary_path: str, checkpoint_location: str,
                          urls: SiteUrls = SiteUrls(), null_aware: bool = False,
-                         available_now: bool = True):
-    """Start the stream; returns the ``StreamingQuery``."""
+                         available_now: bool = True, state_path: str | None = None):
+    """Start the stream; returns the ``StreamingQuery``. Its first batch takes in all files of the
+    folder, later ones the new files; the state lies beside the checkpoint unless it is named."""
+    state = VisitorState(spark, state_path or f"{checkpoint_location.rstrip('/')}-state", urls)
 
-    def load(_new_files: DataFrame, batch_id: int) -> None:
-        events = spark.read.schema(EVENT_TRACKING).parquet(events_path)
+    def load(new_events: DataFrame, batch_id: int) -> None:
+        state.add(new_events, f"batch{batch_id}")
         summary = read_summary(spark, summary_path, exclude_batch=batch_id)
-        rows = register_funnel_incremental(events, registrations, hashes, summary, urls, null_aware)
-        _write_batch(rows, summary_path, batch_id)
+        _write_batch(state.increment(registrations, hashes, summary, null_aware), summary_path, batch_id)
 
     writer = (spark.readStream.schema(EVENT_TRACKING).parquet(events_path)
               .writeStream.foreachBatch(load)
