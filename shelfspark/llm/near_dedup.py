@@ -41,6 +41,7 @@ from shelfspark.llm.components import components
 
 BANDS, ROWS = 32, 4
 LEAST_BANDS = 2
+FAIR_SHARE = 100  # stars go on while they find a link per so many open places; the rest is found by other joins
 _draw = np.random.default_rng(20240229)
 FACTOR = _draw.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 SHIFT = _draw.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
@@ -162,29 +163,37 @@ def links(docs: DataFrame, marked: DataFrame, id_col: str, text_col: str, width:
     edges = compared.filter(_reaches(percent)).select(F.col("id").alias("u"), F.col("hub").alias("v"))
     label = stored(components(edges), "labels")
 
-    def open_members() -> DataFrame:
-        """Members of the buckets that still hold several components; free: outside the largest."""
-        placed = places.join(label, places["id"] == label["node"], "left").select(
-            "band", "id", "n", "own", F.coalesce("component", "id").alias("c"))
+    def still_open(placed: DataFrame) -> DataFrame:
+        """Members (band, id, n, own, c) of the buckets that hold several components; free: outside the largest."""
         tops = (placed.groupBy("band", "c").agg(F.count(F.lit(1)).alias("size")).groupBy("band")
                 .agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("size", "c")).alias("top"))
                 .filter("parts > 1").select("band", F.col("top.c").alias("top")))
-        return placed.join(tops, "band").withColumn("free", F.col("c") != F.col("top"))
+        return placed.join(tops, "band").select("band", "id", "n", "own", "c", (F.col("c") != F.col("top")).alias("free"))
 
     def joined(more: DataFrame) -> DataFrame:
         return stored(components(label.select(F.col("node").alias("u"), F.col("component").alias("v"))
                                  .unionByName(more.select(F.col("id").alias("u"), F.col("hub").alias("v")))), "labels")
 
-    # Further stars among what is outside the largest component of a bucket, while they link.
-    turn = 0
+    # Further stars among what is outside the largest component of a bucket, as long as they link
+    # a fair share of it: a family whose members are hardly linked is left to the exact rest. A
+    # bucket that is closed stays closed, so only the open ones are carried on.
+    placed = stored(places.join(label, places["id"] == label["node"], "left").select(
+        "band", "id", "n", "own", F.coalesce("component", "id").alias("c")), "placed")
+    open_now, turn = stored(still_open(placed), "open"), 0
     while True:
         turn += 1
-        open_now = stored(open_members(), "open")
         more = star(open_now, F.xxhash64("id", F.lit(turn))).filter("can").select("id", "hub").distinct().join(pairs, ["id", "hub"], "left_anti")
         more = stored(_compared(stored(more, "star-pairs"), sets).filter(_reaches(percent)).select("id", "hub"), "star-links")
-        if more.isEmpty():
+        found = more.count()
+        if not found:
             break
         label = joined(more)
+        carried = open_now.count()
+        placed = stored(open_now.join(label, open_now["c"] == label["node"], "left").select(
+            "band", "id", "n", "own", F.coalesce("component", "c").alias("c")), "placed")
+        open_now = stored(still_open(placed), "open")
+        if found * FAIR_SHARE < carried:
+            break
 
     # The rest, without listing the pairs of a bucket. Two members that were compared with the
     # same hub share at most the smaller of their parts in the hub, and what they share outside
