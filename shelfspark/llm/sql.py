@@ -47,10 +47,16 @@ base AS (
   SELECT doc_id, kind, lo, lo + size AS hi FROM ({_found(0, secrets.ASSIGN, 8, 2)}) a WHERE value >= {secrets.LEAST_VALUE}
   UNION ALL SELECT doc_id, kind, lo, lo + size FROM ({_found(1, secrets.ACCESS, 16)}) a WHERE size >= {secrets.LEAST_ACCESS}
   UNION ALL SELECT doc_id, kind, lo, lo + size FROM ({_found(2, "[0-9a-f]{32,}", 32)}) a),
+found AS (SELECT * FROM ({_found(3, secrets.CANDIDATE, 20)}) c),
+met AS (
+  SELECT c.doc_id, c.kind, c.lo, c.text, b.lo AS b_lo, b.hi AS b_hi FROM found c JOIN base b ON b.doc_id = c.doc_id AND b.lo < c.lo + c.size AND c.lo < b.hi
+  UNION ALL SELECT doc_id, kind, lo, text, lo + size, lo + size FROM found),
+cut AS (
+  SELECT doc_id, kind, lo AS whole, text, b_lo, greatest(lo, coalesce(max(b_hi) OVER (
+      PARTITION BY doc_id, lo ORDER BY b_lo, b_hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), lo)) AS lo FROM met),
 c AS (
-  SELECT c.* FROM ({_found(3, secrets.CANDIDATE, 20)}) c
-  WHERE NOT ({_ALLOWED} OR len(list_distinct(string_split(c.text, ''))) = 1)
-    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = c.doc_id AND b.lo < c.lo + c.size AND c.lo < b.hi)),
+  SELECT * FROM (SELECT doc_id, kind, lo, CAST(b_lo - lo AS BIGINT) AS size, substr(text, CAST(lo - whole + 1 AS BIGINT), CAST(b_lo - lo AS BIGINT)) AS text FROM cut WHERE b_lo - lo >= {secrets.SHORTEST}) c
+  WHERE NOT ({_ALLOWED} OR len(list_distinct(string_split(c.text, ''))) = 1)),
 windows AS (
   SELECT doc_id, kind, lo, size, i, if(regexp_matches(text, '^[0-9a-fA-F]+$'), {secrets.LEAST_BITS['hex']}, {secrets.LEAST_BITS['mixed']}) AS least,
          string_split(substr(text, i, {secrets.WINDOW}), '') AS w
@@ -95,15 +101,18 @@ tested AS (
         FROM b JOIN (SELECT doc_id, max(quality) AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id) l USING (doc_id)
         WHERE NOT base_failed) x
   GROUP BY ALL),
+useful AS (SELECT * FROM tested WHERE bad_hits > 0 AND bad_hits >= {quality.PRECISION} * good_hits),
+shared AS (
+  SELECT *, {quality.LIMIT} / (SELECT count(DISTINCT feature) FROM useful o WHERE o.stratum = useful.stratum) AS alpha,
+         {quality.DELTA} / (SELECT count(*) FROM (SELECT DISTINCT stratum, feature FROM useful) o) AS level FROM useful),
 tail AS (
-  SELECT *, if(k > n * {quality.ALPHA}, 1, list_sum(list_transform(range(0, k + 1), lambda j: exp(
-             lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({quality.ALPHA}) + (n - j) * ln(1 - {quality.ALPHA}))))) AS p
-  FROM tested),
+  SELECT *, if(k > n * alpha, 1, list_sum(list_transform(range(0, k + 1), lambda j: exp(
+             lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln(alpha) + (n - j) * ln(1 - alpha))))) AS p
+  FROM shared),
 cuts AS (
   SELECT stratum, feature, min(cutoff) AS cutoff
-  FROM (SELECT *, max(p) OVER (PARTITION BY stratum, feature ORDER BY cutoff DESC) AS worst,
-               (SELECT count(DISTINCT stratum) FROM tested) AS strata FROM tail) x
-  WHERE worst <= {quality.DELTA} / (strata * {len(quality.CUTOFFS)}) AND bad_hits > 0 AND bad_hits >= good_hits
+  FROM (SELECT *, max(p) OVER (PARTITION BY stratum, feature ORDER BY cutoff DESC) AS worst FROM tail) x
+  WHERE worst <= level
   GROUP BY stratum, feature)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT ({_ANY}) AS kept
 FROM b LEFT JOIN cuts USING (stratum)
