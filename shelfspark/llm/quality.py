@@ -4,14 +4,16 @@ Base rules fail a text with fewer than 20 words, or with more than 30 % of its w
 windows that the text repeats. The other texts meet one cutoff per feature and stratum:
 
 * labelled documents are split in two halves by a hash of the id: one half proposes cutoffs
-  (a cutoff is useful if it rejects at least as many bad documents as good ones), the other
+  (a cutoff is useful if it rejects ``PRECISION`` bad documents for each good one), the other
   half is the holdout that certifies them;
 * the false rejections of a cutoff among the holdout's good documents are binomial. The exact
   lower tail ``P(Bin(n, alpha) <= k)`` is the p-value of "it rejects more than ``alpha`` of the
-  good documents"; along the cutoffs of one feature, from the loosest on, they are tested in a
-  fixed sequence that stops at the first failure, and the level is divided by the number of
-  (stratum, feature) sequences, so that with probability ``1 - delta`` every cutoff that is used
-  rejects at most ``alpha`` of the good documents of its stratum;
+  good documents". The useful cutoffs of one feature, from the loosest on, are tested in a fixed
+  sequence that stops at the first failure;
+* what is useful is known before the holdout is looked at, so the budget is spent on that alone:
+  ``alpha`` is the stratum's ``limit`` (5 %) divided by its useful features, the level is ``delta``
+  divided by the number of (stratum, useful feature) sequences. With probability ``1 - delta`` the
+  cutoffs of every stratum together reject at most ``limit`` of its good documents;
 * the tightest certified and useful cutoff is used. Where the holdout is too small to certify
   any, nothing is rejected.
 
@@ -23,7 +25,6 @@ are judged like any other; only the named columns are read, so other columns may
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,7 +37,8 @@ SPACES = r"[\x20\x09-\x0D]+"
 A_WORD = r"[^\x20\x09-\x0D]"
 WINDOW = 8
 FEWEST_WORDS, MOST_REPEATED = 20, 30  # words; per cent of the words
-ALPHA, DELTA = 0.004, 0.05  # false rejections per cutoff and stratum; error probability of all
+LIMIT, DELTA = 0.05, 0.05  # false rejections per stratum; error probability of all cutoffs together
+PRECISION = 10  # a cutoff is useful if the proposing half has so many bad rows for each good one behind it
 # Share of a text's words or characters from which a feature rejects, loosest cutoff first.
 CUTOFFS = {
     "symbol_share": [0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.07, 0.05],
@@ -123,10 +125,11 @@ def base_failed() -> Column:
             | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")))
 
 
-def binomial_tail(n: Column, k: Column, p: float) -> Column:
+def binomial_tail(n: Column, k: Column, p: float | Column) -> Column:
     """Exact ``P(Bin(n, p) <= k)``, summed in logarithms; 1 where ``k`` exceeds the mean."""
-    odds = math.log(p / (1 - p))
-    zero = n * math.log1p(-p)
+    p = p if isinstance(p, Column) else F.lit(p)
+    odds = F.log(p / (1 - p))
+    zero = n * F.log1p(-p)
 
     def add(acc: Column, j: Column) -> Column:
         term = acc["term"] + F.log((n - j + 1) / j) + odds
@@ -139,8 +142,9 @@ def binomial_tail(n: Column, k: Column, p: float) -> Column:
 
 
 def certified(rows: DataFrame, labels: DataFrame, id_col: str, label_col: str,
-              alpha: float, delta: float) -> DataFrame:
-    """Certified cutoffs: stratum, feature, cutoff (at most one row per stratum and feature)."""
+              limit: float, delta: float) -> DataFrame:
+    """Certified cutoffs: stratum, feature, cutoff (at most one row per stratum and feature), with the
+    rows and false rejections of the holdout they were certified on."""
     known = (labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
              .groupBy(id_col).agg(F.max(label_col).alias("good")))
     grid = F.array(*[F.struct(F.lit(name).alias("feature"), F.lit(float(c)).alias("cutoff"),
@@ -153,23 +157,30 @@ def certified(rows: DataFrame, labels: DataFrame, id_col: str, label_col: str,
               .select("stratum", "good", holdout.alias("held"), F.explode(grid).alias("x"))
               .groupBy("stratum", F.col("x.feature").alias("feature"), F.col("x.cutoff").alias("cutoff"))
               .agg(F.sum((held & good).cast("long")).alias("n"), one(held & good).alias("k"),
-                   one(~held & good).alias("good_hits"), one(~held & ~good).alias("bad_hits"))
-              .withColumn("p", binomial_tail(F.col("n"), F.col("k"), alpha)))
-    strata = tested.agg(F.count_distinct("stratum").alias("strata"))
+                   one(~held & good).alias("good_hits"), one(~held & ~good).alias("bad_hits")))
+    useful = stored(tested.filter((F.col("bad_hits") > 0) & (F.col("bad_hits") >= PRECISION * F.col("good_hits"))), "quality-useful")
+    # The budget is spent on what the proposing half found useful: a stratum's limit is divided among
+    # its useful features, the error probability among all useful features of all strata.
+    sequences = useful.select("stratum", "feature").distinct()
+    features_of = sequences.groupBy("stratum").agg(F.count("*").alias("n_features"))
+    level = F.lit(delta) / F.greatest(sequences.select(F.count("*")).scalar(), F.lit(1))
     looser = W.partitionBy("stratum", "feature").orderBy(F.desc("cutoff")).rowsBetween(W.unboundedPreceding, 0)
-    return (tested.withColumn("worst", F.max("p").over(looser)).join(strata)
-            .filter((F.col("worst") <= delta / (F.col("strata") * len(CUTOFFS)))
-                    & (F.col("bad_hits") > 0) & (F.col("bad_hits") >= F.col("good_hits")))
-            .groupBy("stratum", "feature").agg(F.min("cutoff").alias("cutoff")))
+    return (useful.join(features_of, "stratum")
+            .withColumn("p", binomial_tail(F.col("n"), F.col("k"), F.lit(limit) / F.col("n_features")))
+            .withColumn("worst", F.max("p").over(looser)).filter(F.col("worst") <= level)
+            .groupBy("stratum", "feature").agg(
+                F.min("cutoff").alias("cutoff"),
+                F.min(F.struct("cutoff", F.col("n").alias("holdout_good"), F.col("k").alias("holdout_rejected"),
+                               F.col("bad_hits").alias("proposed_bad"))).alias("on")))
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           stratum_col: str | None = "lang", label_col: str = "quality",
-          alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+          limit: float = LIMIT, delta: float = DELTA) -> DataFrame:
     """Per input row: id, the counts, base_failed, the failed features and kept."""
     rows = stored(features(docs, id_col, text_col, stratum_col), "quality")
     # One row per stratum; stored so that Spark's own size threshold decides how it is joined.
-    cuts = stored(certified(rows, labels, id_col, label_col, alpha, delta)
+    cuts = stored(certified(rows, labels, id_col, label_col, limit, delta)
                   .groupBy("stratum").pivot("feature", list(CUTOFFS)).agg(F.min("cutoff")), "quality-cuts")
     failed = F.array_compact(F.array(*[F.when(value >= cuts[name], F.lit(name)) for name, value in shares().items()]))
     return (rows.join(cuts, rows["stratum"] == cuts["stratum"], "left")
