@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import random
 import re
 
@@ -266,6 +267,75 @@ def test_one_changed_word_anywhere_leaves_a_passage():
         assert compact_windows.similar_stretches(a, np.arange(len(a)), b, np.arange(len(b))) == [(40, 85, 40, 85)], k
 
 
+def test_rarest_shingles_of_every_run():
+    rnd = random.Random(4)
+    for _ in range(30):
+        rank = np.array([rnd.randrange(25) for _ in range(rnd.randint(1, 60))], dtype=np.int32)
+        want = np.zeros(len(rank), dtype=bool)
+        for a in range(len(rank) - 11):
+            low = sorted(set(rank[a:a + 12].tolist()))[:3]
+            want[a:a + 12] |= np.isin(rank[a:a + 12], low)
+        # A position is taken by any run that holds it and whose third smallest rank it does not pass.
+        assert compact_windows.rarest(rank, 12, 3).tolist() == want.tolist()
+
+
+def test_a_stock_phrase_costs_rows_in_proportion(spark):
+    """Unrelated texts around one phrase of 40 words: no passage, and no pairs of documents to test."""
+    phrase, stored_rows = words(60, 40), []
+    for n in (100, 400):
+        frame = spark.createDataFrame([(i, " ".join([*words(7000 + i, 60), f"before{i}", *phrase, f"after{i}", *words(17000 + i, 60)]))
+                                       for i in range(n)], "doc_id long, text string")
+        rows_, parts, pairs, classes = compact_windows.by_hubs(frame)
+        assert pairs.count() == 0
+        stretches = compact_windows.open_stretches(rows_, parts, pairs, classes)
+        assert compact_windows.open_pairs(stretches).count() == 0
+        stored_rows.append(stretches.count())
+    assert stored_rows[1] <= 4 * stored_rows[0] and stored_rows[0] > 0
+
+
+def test_a_second_passage_of_one_class_is_reported(spark):
+    """Two documents of one class share a further passage that no smaller document of the class has."""
+    first, second = words(61, 55), words(62, 90)
+    seq = shingles(word_hashes(" ".join(first).encode())[0], compact_windows.WIDTH)
+    values = {(r, k) for r, ks in windows_of(" ".join(first)).items() for k in ks}
+    docs = {500: words(63, 60) + first + words(64, 100) + second + words(65, 60),
+            501: words(66, 60) + first + words(67, 100) + second + words(68, 60), 1: words(69, 80) + second + words(70, 80)}
+    for r, key in values:                    # smaller documents hold the values of the first passage
+        at = next(i for i in range(len(seq)) if int(mix64(seq[i:i + 1] + np.uint64(r))[0]) == key)
+        phrase = first[at:at + compact_windows.WIDTH]
+        docs[len(docs)] = next(w for w in (words(31000 + n, 23) + phrase + words(41000 + n, 23) for n in range(500))
+                               if key in windows_of(" ".join(w))[r])
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string")
+    out = {r["doc_id"]: r for r in compact_windows.summary(frame, *compact_windows.passages(frame)).collect()}
+    assert out[500]["class_id"] == out[501]["class_id"] == 1
+    assert out[501]["spans"] == "60:115,215:305" and out[501]["partners"][-1] == 500
+    assert all(out[i]["class_id"] == i for i in docs if 1 < i < 500)
+
+
+def test_recall_of_similar_passages(spark):
+    """Pairs with a passage of similarity 0.8, 0.85 and 0.9 or more, amid unrelated words."""
+    texts, pairs = {}, {}
+    for k, (length, percent) in enumerate(itertools.product((50, 80, 150, 300), (80, 85, 90))):
+        for n in range(12):
+            at, passage = 100 * k + 2 * n, words(50000 + 100 * k + n, length)
+            other = list(passage)
+            rnd = random.Random(at)
+            while True:  # changes as many words as the similarity allows
+                w = rnd.randrange(length)
+                trial = [*other[:w], f"new{w}", *other[w + 1:]]
+                a, b = ({tuple(x[i:i + 5]) for i in range(length - 4)} for x in (passage, trial))
+                if 100 * len(a & b) < percent * len(a | b):
+                    break
+                other = trial
+            for i, p in ((at, passage), (at + 1, other)):
+                texts[i] = " ".join(words(60000 + i, 70) + p + words(70000 + i, 70))
+            pairs.setdefault(percent, []).append(at)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    out = {r["doc_id"]: r["class_id"] for r in compact_windows.summary(frame, *compact_windows.passages(frame)).collect()}
+    for percent, ids in pairs.items():
+        assert sum(out[i + 1] == i for i in ids) >= 0.9 * len(ids), percent
+
+
 def test_passages_awkward_tables(spark):
     pairs, classes = compact_windows.passages(documents(spark))
     out = compact_windows.summary(documents(spark), pairs, classes).collect()
