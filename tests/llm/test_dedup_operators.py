@@ -288,7 +288,7 @@ def test_a_stock_phrase_costs_rows_in_proportion(spark):
         rows_, parts, pairs, classes = compact_windows.by_hubs(frame)
         assert pairs.count() == 0
         stretches = compact_windows.open_stretches(rows_, parts, pairs, classes)
-        assert compact_windows.open_pairs(stretches).count() == 0
+        assert compact_windows.dense_stretches(stretches).count() == 0
         stored_rows.append(stretches.count())
     assert stored_rows[1] <= 4 * stored_rows[0] and stored_rows[0] > 0
 
