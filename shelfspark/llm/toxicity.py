@@ -1,11 +1,12 @@
 """Toxicity by multiple-instance learning: sentence scores combined by noisy-or.
 
 A sentence has the probability ``s(z) = 1 / (1 + exp(-z))`` with ``z`` linear in its word
-features; a document is toxic unless every sentence is clean: ``P = 1 - prod(1 - s(z))``. Only
-documents are labelled, so the weights are fitted to document labels through that product, and
-the sentence probabilities then locate the offending sentences. Sentences without a feature say
-nothing: all of them together count as one of probability ``s(BIAS)``, and of the others the
-``STRONGEST`` enter, so that no text is toxic by its length.
+features (weights of at least 0, and a bias); a document is toxic unless every sentence is clean:
+``P = 1 - prod(1 - s(z))``. Only documents are labelled, so weights and bias are fitted to document
+labels through that product, and the sentence probabilities then locate the offending sentences.
+The noisy-or is leaky: the leak ``s(bias)`` counts once in a document, and every sentence counts by
+what it has above the leak, ``(1 - s(z)) / (1 - s(bias))``. A sentence without a feature, or with
+features of weight 0, has nothing above it, so that no text is toxic by its length; all others enter.
 
 Features are word starts of 3 to 10 letters and whole words, lower-cased. They are counted on
 Spark over a bounded sample of labelled rows (``SAMPLE`` documents, the smallest hashes of the
@@ -41,8 +42,7 @@ LEAST_DOCS = 4  # toxic sample documents that have a feature, at least
 SHORTEST, LONGEST = 3, 10  # letters of a word start
 COUNTED = 100_000  # features counted in a worker's memory at a time
 THRESHOLD = 0.3
-BIAS = -6.0  # z of a sentence without a feature
-STRONGEST = 8  # sentences of a document that enter its score, at most
+BIAS, STIFF = -6.0, 10.0  # mean and precision of the prior of the bias, which is z of a sentence without a feature
 SENTENCE = re.compile(r"[^.!?\n]+")
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -124,7 +124,7 @@ def _softplus(z):
 
 
 class Model:
-    """Weights by feature and a bias, with the noisy-or over the strongest sentences."""
+    """Weights by feature and a bias, with the noisy-or over all sentences that have a feature."""
 
     def __init__(self, features: list[str], weights, bias: float):
         self.features, self.weights, self.bias = list(features), np.asarray(weights, dtype=float), float(bias)
@@ -135,21 +135,23 @@ class Model:
     def score(self, n: int, by: dict[int, list[int]]) -> float:
         if not len(self.weights) or not n:
             return 0.0
-        strongest = sorted(self.sentence_scores(by).values())[-STRONGEST:]
-        clean = sum(float(_softplus(z)) for z in [self.bias, *strongest])
+        leak = _softplus(self.bias)
+        clean = leak + (_softplus(np.array(list(self.sentence_scores(by).values()))) - leak).sum()
         return float(-np.expm1(-clean))
 
 
 def fit(features: list[str], rows: list[tuple[int, int, dict[int, list[int]]]],
         steps: int = 600, rate: float = 0.05, ridge: float = 0.5) -> Model:
-    """Weights that maximise the noisy-or likelihood of document labels (full-batch Adam).
+    """Weights and bias that maximise the noisy-or likelihood of document labels (full-batch Adam).
+
+    Both have normal priors: the weights (at least 0) around 0, the bias around ``BIAS``.
 
     ``rows``: (label, number of sentences, features by sentence) of each sample document.
     """
     labels = np.array([r[0] for r in rows], dtype=float)
     if not features or not len(labels) or labels.min() == labels.max():
         return Model([], [], 0.0)
-    prior = np.array([float(_softplus(BIAS)) if r[1] else 0.0 for r in rows])
+    speaks = np.array([float(r[1] > 0) for r in rows])
     doc_of, entry_of, feature_of, sentence = [], [], [], 0
     for d, (_, _, by) in enumerate(rows):
         for ks in by.values():
@@ -159,25 +161,23 @@ def fit(features: list[str], rows: list[tuple[int, int, dict[int, list[int]]]],
             sentence += 1
     doc_of, entry_of, feature_of = (np.array(x, dtype=np.int64) for x in (doc_of, entry_of, feature_of))
     n_docs, n_features = len(rows), len(features)
-    # Documents of more than STRONGEST sentences with features: their sentences are ranked in each step.
-    crowded = np.flatnonzero(np.bincount(doc_of, minlength=n_docs)[doc_of] > STRONGEST)
-    first = np.searchsorted(doc_of[crowded], doc_of[crowded])
-    w = np.zeros(n_features)
+    w = np.r_[np.zeros(n_features), BIAS]
     m, v = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, steps + 1):
-        z = BIAS + np.bincount(entry_of, w[feature_of], minlength=sentence)
-        enters = np.ones(sentence)
-        by_score = np.lexsort((-z[crowded], doc_of[crowded]))
-        enters[crowded[by_score]] = np.arange(len(crowded)) - first < STRONGEST
-        clean = prior + np.bincount(doc_of, enters * _softplus(z), minlength=n_docs)
+        bias = w[-1]
+        z = bias + np.bincount(entry_of, w[feature_of], minlength=sentence)
+        clean = speaks * _softplus(bias) + np.bincount(doc_of, _softplus(z) - _softplus(bias), minlength=n_docs)
         clean = np.maximum(clean, 1e-9)
         # d(-log likelihood) / d(clean): 1 for clean documents, -exp(-c) / (1 - exp(-c)) for toxic ones
         slope = np.where(labels > 0, -1.0 / np.expm1(np.minimum(clean, 500.0)), 1.0)
-        dz = enters * slope[doc_of] / (1.0 + np.exp(-z))
-        grad = (np.bincount(feature_of, dz[entry_of], minlength=n_features) + ridge * w) / n_docs
+        dz = slope[doc_of] / (1.0 + np.exp(-z))
+        leak = ((slope * speaks).sum() - slope[doc_of].sum()) / (1.0 + np.exp(-bias))
+        of_bias = dz.sum() + leak + STIFF * (bias - BIAS)
+        grad = np.r_[np.bincount(feature_of, dz[entry_of], minlength=n_features) + ridge * w[:-1], of_bias] / n_docs
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         w = w - rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-9)
-    return Model(features, w, BIAS)
+        np.maximum(w[:-1], 0.0, out=w[:-1])
+    return Model(features, w[:-1], float(w[-1]))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,

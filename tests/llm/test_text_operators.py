@@ -203,6 +203,42 @@ def test_noisy_or_gradient_fits_sentences():
     assert model.score(3, {0: [0]}) > 0.8 and model.score(3, {0: [1]}) < 0.3 and model.score(0, {}) == 0.0
 
 
+def test_noisy_or_equals_brute_force_and_fit_is_an_optimum():
+    """Probabilities multiplied one by one; no weight or bias moved a little has a better likelihood."""
+    rnd = random.Random(6)
+    rows_ = []
+    for _ in range(400):
+        by = {s: [k for k in range(4) if rnd.random() < 0.3] for s in range(rnd.randint(0, 14))}
+        by = {s: ks for s, ks in by.items() if ks}
+        toxic = any(rnd.random() < (0.5 if 0 in ks else 0.2 if 1 in ks else 0.0) for ks in by.values())
+        rows_.append((int(toxic or rnd.random() < 0.02), 14, by))
+    model = toxicity.fit(list("abcd"), rows_, steps=4000, rate=0.02)
+
+    def probability(weights, bias, n, by):
+        def s(z):
+            return 1 / (1 + math.exp(-z))
+        clean = 1 - s(bias)
+        for ks in by.values():
+            clean *= (1 - s(bias + sum(weights[k] for k in ks))) / (1 - s(bias))
+        return 1 - clean if n else 0.0
+
+    def loss(weights, bias):
+        fit = sum(math.log(p if label else 1 - p) for label, n, by in rows_ for p in [probability(weights, bias, n, by)])
+        return 0.25 * sum(w * w for w in weights) + toxicity.STIFF / 2 * (bias - toxicity.BIAS) ** 2 - fit
+
+    weights = model.weights.tolist()
+    for _, n, by in rows_:
+        assert abs(model.score(n, by) - probability(weights, model.bias, n, by)) < 1e-9
+    best = loss(weights, model.bias)
+    for k in range(5):
+        for step in (-0.05, 0.05):
+            moved = [max(w + step * (j == k), 0.0) for j, w in enumerate(weights)]
+            assert loss(moved, model.bias + step * (k == 4)) >= best - 1e-3
+    # Every sentence enters: twenty weak ones together say more than eight.
+    weak = {s: [1] for s in range(20)}
+    assert model.score(20, weak) > model.score(20, dict(list(weak.items())[:8]))
+
+
 def test_long_clean_texts_are_not_toxic():
     """Half of the toxic documents have no feature; clean texts of any length stay, blank fragments or not."""
     rows_ = [(1, 5, {0: [0]})] * 20 + [(1, 5, {})] * 20 + [(0, 30, {3: [1]})] * 30 + [(0, 30, {})] * 230
