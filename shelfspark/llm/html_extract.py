@@ -1,27 +1,26 @@
 """HTML main text by a tree-structured graphical model over the DOM.
 
-Every block element of a page is a node that is content or not. Its own evidence is linear in
+Every block element of a page, and every inline element with a telling class, id or role, is a
+node that is content or not (``html_tree``). Its own evidence is linear in
 features of its tag, class and id words, text and links; parent-child potentials connect the
-nodes. On a tree sum-product is exact: one pass of messages from the leaves to the root and one
-back give each node's content marginal. Text belongs to its nearest block element and is kept
-where that marginal is at least one half.
+nodes, one table for block children and one for inline ones (an advert within a paragraph says
+little against the paragraph). On a tree sum-product is exact: one pass of messages from the leaves to the root and one
+back give each node's content marginal. Text belongs to its nearest node and is kept where
+that marginal is at least one half.
 
 Weights are fitted to labelled pages by gradient ascent on the conditional likelihood (the same
-messages give its gradient): a few labelled layouts of this module, and at most ``SAMPLE`` pages
-of the table (the smallest hashes of their text, none above ``LARGEST`` characters) that mark
-their own main part with ``article`` or ``main`` and are labelled by it.
+messages give its gradient). The labelled pages are the layouts of this module or the caller's
+own; the table itself is never labelled, so one model serves tables of every size.
 
 Defined cases: null and empty HTML give an empty text; pages without content give an empty text;
 pages of any size and depth are read whole (no recursion); broken markup is read as far as it
-goes: unknown end tags are ignored, open elements end with the page; repeated rows and null ids
-are extracted like any other; an empty table uses the labelled layouts alone; only the named
+goes (``html_tree``): unknown end tags are ignored, open elements end with the page; repeated rows and null ids
+are extracted like any other; an empty table gives an empty one; only the named
 columns are read, so other columns may have any name.
 """
 
 from __future__ import annotations
 
-import html as entities
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,139 +30,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfspark.llm.common import read, ship
+from shelfspark.llm.html_tree import BLOCKS, GROUP_OF, GROUPS, WORDS, Page, word_flags
 
-SAMPLE, LARGEST = 300, 200_000  # pages of the table used for training, characters of each
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|textarea|select)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
-MARKS = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-TITLE = re.compile(r"<title\b[^>]*>.*?(?:</title\s*>|\Z)", re.S | re.I)
-
-GROUPS = {
-    "main": ("article", "main"), "section": ("section",), "div": ("div", "center"),
-    "text": ("p", "blockquote", "pre", "figcaption", "address", "details", "summary"),
-    "heading": ("h1", "h2", "h3", "h4", "h5", "h6", "hgroup"), "list": ("ul", "ol", "dl"),
-    "item": ("li", "dd", "dt"), "table": ("table", "thead", "tbody", "tfoot", "tr", "td", "th", "caption"),
-    "nav": ("nav", "menu"), "header": ("header",), "footer": ("footer",), "aside": ("aside", "dialog"),
-    "form": ("form", "fieldset", "button", "label", "legend", "option"), "page": ("html", "body"),
-    "figure": ("figure",), "head": ("head", "title"),
-}
-GROUP_OF = {tag: k for k, tags in enumerate(GROUPS.values()) for tag in tags}
-NAMES = list(GROUPS)
-WORDS = {
-    "nav": ("nav", "menu", "breadcrumb", "pagin", "pager", "tabs", "toc", "skip"),
-    "ad": ("advert", "sponsor", "promo", "banner", "adbox", "adslot", "ads", "ad"),
-    "foot": ("foot", "copyright", "legal", "colophon"),
-    "head": ("header", "masthead", "topbar", "logo", "branding"),
-    "side": ("side", "widget", "related", "recommend", "popular", "trending", "share", "social", "newsletter", "subscri", "rail"),
-    "comment": ("comment", "disqus", "repl", "respond", "discussion", "feedback"),
-    "notice": ("cookie", "consent", "gdpr", "notice", "alert", "popup", "modal", "overlay", "paywall", "warning"),
-    "form": ("form", "search", "login", "signup", "signin", "register"),
-    "main": ("article", "content", "post", "entry", "story", "main", "body", "text", "prose"),
-}
-EXACT = {"ad", "ads"}
 SIZES = (1, 25, 80, 200)
 N_TAGS, N_WORDS = len(GROUPS) + 1, len(WORDS)
 EXTRA = ("linked", "sentence", "copyright", "subtree_large", "subtree_linked", "empty_subtree", "in_main", "in_other")
 N_FEATURES = 1 + N_TAGS + N_WORDS + len(SIZES) + len(EXTRA)
 BOILERPLATE = {"nav", "header", "footer", "aside", "form", "button", "dialog", "menu", "fieldset", "label"}
-VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-# Elements that a new element of the key ends, up to the elements that keep them open.
-ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
-        "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
-BLOCKS = set(GROUP_OF) - {"label", "option", "title"} | {"hr"}
-
-
-class Page:
-    """Block tree of a page: parents, features' raw material, and text pieces by owner."""
-
-    __slots__ = ("parent", "tag", "marks", "pieces", "linked", "labelled")
-
-    def __init__(self, text: str):
-        self.parent, self.tag, self.marks = [-1], ["html"], [""]
-        self.pieces: list[tuple[int, str]] = []  # owner and text; a piece None ends a block
-        self.linked = [0]
-        self.labelled: list[int] = []
-        self._read(TITLE.sub(" ", text))
-
-    def _read(self, text: str) -> None:
-        stack: list[tuple[str, int]] = [("html", 0)]
-        links = 0
-        at = 0
-        for m in TOKEN.finditer(text):
-            if m.start() > at:
-                self._text(stack[-1][1], text[at:m.start()], links)
-            at = m.end()
-            name = m.group(3)
-            if name is None:
-                continue
-            name = name.lower()
-            if m.group(2):
-                if name == "a":
-                    links = max(0, links - 1)
-                self._close(stack, name)
-            else:
-                links = self._open(stack, name, m.group(4) or "", links)
-        if at < len(text):
-            self._text(stack[-1][1], text[at:], links)
-
-    def _text(self, owner: int, raw: str, links: int) -> None:
-        value = entities.unescape(raw)
-        self.pieces.append((owner, value))
-        if links:
-            self.linked[owner] += len(value)
-
-    def _open(self, stack, name: str, attributes: str, links: int) -> int:
-        if name == "a":
-            stack.append(("a", stack[-1][1]))
-            return links + 1
-        if name in VOID:
-            if name in ("br", "hr"):
-                self.pieces.append((stack[-1][1], " "))
-            return links
-        if name in BLOCKS:
-            if any(tag == "p" for tag, _ in stack[-8:]):
-                self._close(stack, "p")
-            if name in ENDS:
-                ended, bound = ENDS[name]
-                k = len(stack) - 1
-                while k > 0 and stack[k][0] not in bound and stack[k][0] not in ended:
-                    k -= 1
-                if k > 0 and stack[k][0] in ended:
-                    del stack[k:]
-            self.pieces.append((stack[-1][1], " "))
-            marks = " ".join(next(g for g in m.groups()[1:] if g is not None) for m in MARKS.finditer(attributes)) if "=" in attributes else ""
-            node = len(self.parent)
-            self.parent.append(stack[-1][1])
-            self.tag.append(name)
-            self.marks.append(marks.lower())
-            self.linked.append(0)
-            if "data-main" in attributes:
-                self.labelled.append(node)
-            if name != "hr":
-                stack.append((name, node))
-            return links
-        stack.append((name, stack[-1][1]))
-        return links
-
-    def _close(self, stack, name: str) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] == name:
-                if name in BLOCKS:
-                    self.pieces.append((stack[k][1], " "))
-                del stack[k:]
-                return
-            if stack[k][0] in ("article", "body") and name not in ("article", "body", "html", "main", "div"):
-                return  # an end tag does not end what lies outside the page's large parts
-
-
-def word_flags(marks: str) -> list[int]:
-    """Numbers of the word groups that class, id or role words belong to."""
-    if not marks:
-        return []
-    tokens = re.split(r"[^a-z0-9]+", marks)
-    return [k for k, prefixes in enumerate(WORDS.values())
-            if any(t in EXACT and t in prefixes or any(t.startswith(p) for p in prefixes if p not in EXACT) for t in tokens)]
 
 
 def feature_matrix(page: Page) -> np.ndarray:
@@ -226,28 +99,33 @@ class Forest:
         self.parent, depth = np.array(parents, dtype=np.int64), np.array(depths, dtype=np.int64)
         order = np.argsort(depth, kind="stable")
         self.levels = np.split(order, np.flatnonzero(np.diff(depth[order])) + 1) if len(order) else []
+        self.kind = np.array([int(tag not in BLOCKS) for p in pages for tag in p.tag], dtype=np.int64)  # 1: inline
         self.features = np.concatenate([feature_matrix(p) for p in pages]) if pages else np.zeros((0, N_FEATURES))
 
     def marginals(self, weights: np.ndarray, edge: np.ndarray):
-        """Sum-product: content marginal of every node, and joint marginals of the edges (n, 2, 2)."""
+        """Sum-product: content marginal of every node, and joint marginals of the edges (n, 2, 2).
+
+        ``edge`` holds the potential of (kind of child, parent's state, child's state)."""
         n = len(self.parent)
         inner = np.zeros((n, 2))  # own evidence and the messages of the children
         inner[:, 1] = self.features @ weights
         message = np.zeros((n, 2))
         for level in self.levels[:0:-1]:
+            table = edge[self.kind[level]]
             for a in (0, 1):
-                message[level, a] = _logadd(edge[a, 0] + inner[level, 0], edge[a, 1] + inner[level, 1])
+                message[level, a] = _logadd(table[:, a, 0] + inner[level, 0], table[:, a, 1] + inner[level, 1])
             for a in (0, 1):
                 np.add.at(inner[:, a], self.parent[level], message[level, a])
         belief = inner.copy()
         joint = np.zeros((n, 2, 2))
         for level in self.levels[1:]:
             rest = belief[self.parent[level]] - message[level]
+            table = edge[self.kind[level]]
             for b in (0, 1):
-                belief[level, b] += _logadd(edge[0, b] + rest[:, 0], edge[1, b] + rest[:, 1])
+                belief[level, b] += _logadd(table[:, 0, b] + rest[:, 0], table[:, 1, b] + rest[:, 1])
             for a in (0, 1):
                 for b in (0, 1):
-                    joint[level, a, b] = rest[:, a] + edge[a, b] + inner[level, b]
+                    joint[level, a, b] = rest[:, a] + table[:, a, b] + inner[level, b]
             top = joint[level].max(axis=(1, 2), keepdims=True)
             p = np.exp(joint[level] - top)
             joint[level] = p / p.sum(axis=(1, 2), keepdims=True)
@@ -261,32 +139,26 @@ def train(pages: list[Page], labels: list[np.ndarray], weight: list[float], step
     y = np.concatenate(labels).astype(float)
     w = np.repeat(weight, [len(p.parent) for p in pages])
     child = np.flatnonzero(forest.parent >= 0)
-    want = np.zeros((2, 2))
-    np.add.at(want, (y[forest.parent[child]].astype(int), y[child].astype(int)), w[child])
-    theta = np.zeros(N_FEATURES + 4)
+    want = np.zeros((2, 2, 2))
+    np.add.at(want, (forest.kind[child], y[forest.parent[child]].astype(int), y[child].astype(int)), w[child])
+    theta = np.zeros(N_FEATURES + 8)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     scale = w.sum()
     for step in range(1, steps + 1):
-        p, joint = forest.marginals(theta[:N_FEATURES], theta[N_FEATURES:].reshape(2, 2))
+        p, joint = forest.marginals(theta[:N_FEATURES], theta[N_FEATURES:].reshape(2, 2, 2))
+        found = np.zeros((2, 2, 2))
+        np.add.at(found, forest.kind[child], (w[:, None, None] * joint)[child])
         grad = np.concatenate([forest.features.T @ (w * (y - p)),
-                               (want - (w[:, None, None] * joint).sum(axis=0)).ravel()]) / scale - ridge * theta / len(theta)
+                               (want - found).ravel()]) / scale - ridge * theta / len(theta)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         theta = theta + rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-9)
-    return theta[:N_FEATURES], theta[N_FEATURES:].reshape(2, 2)
+    return theta[:N_FEATURES], theta[N_FEATURES:].reshape(2, 2, 2)
 
 
-def own_labels(page: Page, marked: list[int] | None = None) -> np.ndarray:
-    """Labels of a page: inside a marked element (default: article or main), less its boilerplate parts."""
-    roots = set(marked if marked is not None else
-                [i for i, tag in enumerate(page.tag) if tag in ("article", "main")])
+def labels_of(page: Page) -> np.ndarray:
+    """1 for the nodes that the page marks by ``data-main``, else 0."""
     y = np.zeros(len(page.parent), dtype=np.int8)
-    bad = {k for k, name in enumerate(WORDS) if name != "main"}
-    for i in range(len(y)):
-        inside = i in roots or (i > 0 and y[page.parent[i]] == 1)
-        y[i] = inside and (marked is not None or page.tag[i] not in BOILERPLATE) and (
-            marked is not None or not bad.intersection(word_flags(page.marks[i])))
-    if marked is not None:  # marked pages mark every content element
-        y = np.array([i in roots for i in range(len(y))], dtype=np.int8)
+    y[page.labelled] = 1
     return y
 
 
@@ -317,6 +189,9 @@ def labelled_layouts() -> list[str]:
         f"<body><header>{menu}</header><main {m}><h1 {m}>Rain</h1><p {m}>{mid}</p></main><aside><p>{long}</p></aside><footer>{foot}{menu}</footer></body>",
         f"<body><article {m}><header {m}><h1 {m}>Rain</h1></header><p {m}>{mid}</p><h2 {m}>Wind</h2><p {m}>{short}</p><table {m}><tr {m}><td {m}>1</td><td {m}>{short}</td></tr></table></article><div class='comments'><p>{long}</p></div></body>",
         f"<body><h1 {m}>Rain</h1><p {m}>{long}</p><p {m}>{short}</p><p {m}>{long}</p><hr><p>&copy; {mid}</p></body>",
+        f"<body><nav><a class='menu-link' href='/'>Home</a> <a class='menu-link' href='/n'>News</a></nav><article {m}><h1 {m}>Rain <span class='text-muted' {m}>and wind</span></h1><p {m}>{mid} <span class='ad'>Buy now!</span> {mid} <a class='post-ref' {m} href='/p'>An earlier report</a> says so.</p><p {m}>{long}<span class='share-links'><a href='/t'>Tweet this</a></span></p></article><footer>{foot}</footer></body>",
+        f"<body><div id='content' {m}><h2 {m}>The harbour wall</h2><p {m}><em class='body-text' {m}>{mid}</em> {long}<span class='sponsor-note'>Brought to you by the bank. {mid}</span></p><p {m}>{short} <span class='comment-count'>3 replies</span></p><p {m}>{mid}<span class='content-strong' {m}>{long}</span></p></div><p class='footer'><span class='copyright'>&copy; 2018</span> {mid}</p></body>",
+        f"<body><article {m}><h1 {m}>Rain</h1><p {m}>{mid} <span class='advert'>{mid}</span> {short} <span class='widget'>{short}</span> {mid} <b class='promo'>{long}</b> {mid}<span class='share'>{short}</span></p><p {m}><span class='ad'>{short}</span>{mid}<span class='related'>{mid}</span></p></article><footer>{foot}</footer></body>",
         f"<body><div><div><a href='/1'>One</a> <a href='/2'>Two</a></div><div {m}><p {m}>{long}</p><p {m}>{long}</p><p {m}>{short}</p><p {m}>{mid}</p></div><div>&copy; 2019 Someone</div></div></body>",
     ]
 
@@ -334,17 +209,10 @@ def extract(pages: list[Page], weights: np.ndarray, edge: np.ndarray, at_least:
     return out
 
 
-def fitted(pages: DataFrame, html_col: str = "html") -> tuple[np.ndarray, np.ndarray]:
-    """Model from the labelled layouts and a bounded sample of the table's own marked pages."""
-    column = F.col(html_col)
-    rows = (pages.select(column.alias("html")).filter(F.length("html") <= LARGEST)
-            .filter(F.lower("html").rlike("<(article|main)[ >]"))
-            .orderBy(F.xxhash64("html"), F.length("html")).limit(SAMPLE).collect())
-    layouts = [Page(x) for x in labelled_layouts()]
-    table = [Page(r["html"]) for r in rows]
-    labels = [own_labels(p, p.labelled) for p in layouts] + [own_labels(p) for p in table]
-    share = len(table) / len(layouts) if table else 1.0
-    return train(layouts + table, labels, [max(1.0, share)] * len(layouts) + [1.0] * len(table))
+def fitted(labelled: list[str] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Model from labelled pages, whose content elements carry ``data-main`` (default: the layouts)."""
+    pages = [Page(x) for x in (labelled_layouts() if labelled is None else labelled)]
+    return train(pages, [labels_of(p) for p in pages], [1.0] * len(pages))
 
 
 def extract_pages(pages: DataFrame, model: tuple[np.ndarray, np.ndarray], id_col: str = "page_id",
@@ -369,4 +237,4 @@ def extract_pages(pages: DataFrame, model: tuple[np.ndarray, np.ndarray], id_col
 
 def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages")
-    return extract_pages(pages, fitted(pages), keep=("url",))
+    return extract_pages(pages, fitted(), keep=("url",))
