@@ -20,6 +20,7 @@ from ..functions.bands import activity, cohort, described, recency
 from ..functions.dates import (add_months, date_lit, day_boundaries, month_boundaries,
                                second_boundaries, ts_lit)
 from ..functions.days import bit_of, distinct_days, word_of
+from ..functions.membership import may_hold
 from ..params import LEVEL_TEXTS, BACKEND_EVENTS, RfiAverageParams, RfiBands, RfiWindow
 from ..schemas import RFI_AVERAGE_COLUMNS, RFI_MONTHLY_COLUMNS
 from ..session import materialize
@@ -69,13 +70,15 @@ def rfi_activity(tracking: DataFrame, subscribers: DataFrame, w: RfiWindow) -> D
     Events are reduced to one row per (user, session) before anything meets the
     subscriber set: the aggregation is partial per task and shuffles on both keys, so a
     user with a huge share of events is spread over tasks; only the reduced rows are
-    joined to subscribers.
+    joined to subscribers. A bounded filter of the subscriber ids drops most other users'
+    events in the scan, before that shuffle.
     """
     cut, start = ts_lit(w.cut_off), ts_lit(w.start)
     ts, sid = F.col("event_timestamp"), F.col("session_id")
     users = subscribers.select("user_id").distinct()
     in_session = sid.isNotNull() & (sid != "") & (ts >= start)
     sessions = (_not_backend(tracking).filter((ts <= cut) & F.col("user_id").isNotNull())
+                .filter(may_hold(users, "user_id"))
                 .groupBy("user_id", "session_id")
                 .agg(F.max(ts).alias("_last_any"),
                      F.min(F.when(in_session, ts)).alias("_first"),
@@ -92,6 +95,7 @@ def rfi_reading_days(reading: DataFrame, subscribers: DataFrame, w: RfiWindow) -
     rd = F.col("reading_date")
     users = subscribers.select("user_id").distinct()
     return (reading.filter((rd >= ts_lit(w.start)) & (rd <= ts_lit(w.cut_off)))
+            .filter(may_hold(users, "user_id"))
             .join(users, "user_id", "left_semi")
             .groupBy("user_id")
             .agg(distinct_days(rd, w.start, w.cut_off).alias("active_reading_days")))
@@ -210,6 +214,7 @@ def rfi_average(subscriptions: DataFrame, tracking: DataFrame, reading: DataFram
     next_month = (p.cut_off.replace(day=1) + dt.timedelta(days=32)).replace(day=1)
     days = (_not_backend(tracking).filter(F.col("user_id").isNotNull()
                                           & (F.col("event_timestamp") < ts_lit(next_month)))
+            .filter(may_hold(ends, "user_id"))
             .groupBy("user_id", F.to_date("event_timestamp").alias("_day"))
             .agg(F.min("event_timestamp").alias("_earliest")))
     last = (days.join(ends, "user_id")
