@@ -9,8 +9,9 @@ alignment to a span of bytes of the original text: spans are in order, and all b
 a character's byte pieces are empty.
 
 In models whose pieces hold U+2581 only at their start (checked when the model is read) no merge
-crosses the end of a word, so words are encoded on their own and kept in a bounded cache; other
-models are encoded a whole text at a time with the same result.
+crosses the end of a word, so words are encoded on their own: the distinct words of a batch side
+by side, one merge of each word a round, long ones one by one with a bounded cache. Other models
+are encoded a whole text at a time with the same result.
 
 Decoding joins the pieces, U+2581 as a space, without the one that was put before the text; runs
 of byte pieces become characters, or U+FFFD where they are not UTF-8.
@@ -44,7 +45,9 @@ NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6  # fixed values: kinds of pieces in
 WORDS_KEPT = 300_000  # encoded words in each of two caches of a Python worker (bounded caches, not a cap on input)
 LONGEST_KEPT = 64  # characters; longer words are encoded afresh
 ROWS = 500  # texts encoded at a time
+TEXT = 2_000_000  # characters; texts whose words are held at a time (at least one text)
 SCANNED = 60  # characters; neighbours of longer words are kept in a heap
+BESIDE = 8192  # words merged side by side
 NEVER = float("inf")
 
 
@@ -128,6 +131,43 @@ class CharacterMap:
         return b"".join(parts), np.concatenate(origin)
 
 
+class PairTable:
+    """Neighbouring pieces that join: a hash table with open addressing, looked up for many pairs at once."""
+
+    NONE = np.iinfo(np.int64).max
+
+    def __init__(self, left: np.ndarray, right: np.ndarray, value: np.ndarray):
+        self.bits = max(8, int(len(left) * 4).bit_length())
+        self.keys = np.full(1 << self.bits, -1, dtype=np.int64)
+        self.values = np.full(1 << self.bits, self.NONE, dtype=np.int64)
+        key = left.astype(np.int64) << 32 | right
+        slot = self._slots(key)
+        while len(key):  # of the pairs that ask for a free slot one gets it, the others try the next
+            free = np.flatnonzero(self.keys[slot] == -1)
+            self.keys[slot[free]] = key[free]
+            got = self.keys[slot] == key
+            self.values[slot[got]] = value[got]
+            key, value, slot = key[~got], value[~got], (slot[~got] + 1) & ((1 << self.bits) - 1)
+
+    def _slots(self, key: np.ndarray) -> np.ndarray:
+        return ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def get(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The values of the pairs, NONE where a pair does not join."""
+        key = left << 32 | right
+        slot = self._slots(key)
+        there = self.keys[slot]
+        out = np.where(there == key, self.values[slot], self.NONE)
+        more = np.flatnonzero((there != key) & (there != -1))
+        while len(more):
+            slot[more] = (slot[more] + 1) & ((1 << self.bits) - 1)
+            there = self.keys[slot[more]]
+            hit = there == key[more]
+            out[more[hit]] = self.values[slot[more[hit]]]
+            more = more[~hit & (there != -1)]
+        return out
+
+
 class Pieces:
     """A BPE model: normalisation with alignment, merges by score, byte fallback, decoding."""
 
@@ -166,6 +206,26 @@ class Pieces:
             k, n.replace(SPACE, " ").encode()) for i, (n, k) in enumerate(zip(names, kinds))]
         self.cache: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}  # the cache before it was full last
+        if self.by_word and self.fallback is not None:
+            self._tables()
+
+    def _tables(self) -> None:
+        """Tables for merging many words at once: codes of characters, and what pairs of pieces join to.
+
+        A character's code is its piece; beyond the pieces if none holds it, -1 if only longer ones do.
+        """
+        ids = self.ids
+        self.characters = np.arange(0x110000) + len(self.names) + 1
+        self.characters[[ord(c) for c in set().union(*ids)]] = -1
+        for n, i in ids.items():
+            if len(n) == 1:
+                self.characters[ord(n)] = i
+        # Pieces of equal cost have equal ranks: the leftmost of them is joined first.
+        costs = np.array([self.cost[n] for n in ids])
+        rank = np.unique(costs, return_inverse=True)[1].tolist()
+        pairs = [(a, b, r << 32 | i) for (n, i), r in zip(ids.items(), rank) for k in range(1, len(n))
+                 if (a := ids.get(n[:k])) is not None and (b := ids.get(n[k:])) is not None]
+        self.pairs = PairTable(*np.array(pairs, dtype=np.int64).reshape(-1, 3).T)
 
     # --- normalisation -------------------------------------------------------------------
     def normalise(self, text: str) -> tuple[str, np.ndarray]:
@@ -236,6 +296,84 @@ class Pieces:
                 heapq.heappush(heap, (c, h, both))
         return [p for p in part if p is not None]
 
+    def _merge_all(self, code: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for many words at once: codes of their characters and their sizes in, of their pieces out.
+
+        Place p of all words is row p; a row without pieces on either side ends every word. A pair is
+        kept at its left place as rank, place and joined piece in one number: the least is next.
+        """
+        n, rows = len(size), int(size.max()) + 2
+        none, end = PairTable.NONE, len(self.names)
+        part = np.full((rows, n), end, dtype=np.int64)
+        word = np.repeat(np.arange(n), size)
+        part[np.arange(len(code)) - np.repeat(np.cumsum(size) - size, size) + 1, word] = code
+        best = np.full((rows, n), none, dtype=np.int64)
+        found = self.pairs.get(part[:-1].reshape(-1), part[1:].reshape(-1))
+        best[:-1] = found.reshape(rows - 1, n) | (np.arange(rows - 1) << 24)[:, None]
+        after = np.repeat(np.arange(1, rows + 1, dtype=np.int64), n)
+        before = np.repeat(np.arange(-1, rows - 1, dtype=np.int64), n)
+        live, part = np.arange(n), part.reshape(-1)
+        while True:
+            least = best.min(axis=0)
+            some = np.flatnonzero(least != none)
+            if not len(some):
+                break
+            if len(some) < len(live):
+                best, least, live = best[:, some], least[some], live[some]
+            at, joined = (least >> 24) & 0xFF, least & 0xFFFFFF
+            here = at * n + live
+            gone = after[here]
+            there = gone * n + live
+            right, left = after[there], before[here]
+            part[here], part[there] = joined, -1
+            after[here] = right
+            before[right * n + live] = at
+            column = np.arange(len(live))
+            found = self.pairs.get(np.concatenate([part[left * n + live], joined]),
+                                   np.concatenate([joined, part[right * n + live]]))
+            best[gone, column] = none
+            best[left, column] = found[:len(live)] | left << 24
+            best[at, column] = found[len(live):] | at << 24
+        part = part.reshape(rows, n).T
+        kept = (part >= 0) & (part != end)  # not joined to the left, not beyond the word
+        return part[kept], kept.sum(axis=1)
+
+    def known(self, texts: list[list[str]]) -> dict[str, bytes]:
+        """Packed ids of all words of some texts."""
+        words = set().union(*texts)
+        out = self._side_by_side([w for w in words if len(w) <= SCANNED]) if self.by_word else {}
+        get, encode = self.cache.get, self._ids
+        out.update({w: get(w) or encode(w) for w in words.difference(out)})
+        return out
+
+    def _side_by_side(self, words: list[str]) -> dict[str, bytes]:
+        """The same for short words, without those of characters that pieces hold but that are none."""
+        out, end = {}, len(self.names)
+        words.sort(key=len)
+        for lo in range(0, len(words), BESIDE):
+            some = words[lo:lo + BESIDE]
+            size = np.array([len(w) for w in some])
+            code = self.characters[np.frombuffer("".join(some).encode("utf-32-le"), "<u4")]
+            fit = np.minimum.reduceat(code, np.cumsum(size) - size) >= 0
+            if not fit.all():
+                some = list(itertools.compress(some, fit))
+                code, size = code[np.repeat(fit, size)], size[fit]
+            if not some:
+                continue
+            code, size = self._merge_all(code, size)
+            unknown = code > end
+            if unknown.any():  # as many byte pieces as the character has bytes
+                lone = (code[unknown] - end - 1).astype("<u4")
+                wide = np.ones(len(code), dtype=np.int64)
+                wide[unknown] += np.searchsorted([0x80, 0x800, 0x10000], lone, "right")
+                size = np.add.reduceat(wide, np.cumsum(size) - size)
+                code = np.repeat(code, wide)
+                raw = np.frombuffer(lone.tobytes().decode("utf-32-le").encode(), np.uint8)
+                code[code > end] = np.array(self.fallback)[raw]
+            packed, ends = code.astype("<u4").tobytes(), (4 * np.cumsum(size)).tolist()
+            out.update(zip(some, [packed[a:b] for a, b in zip([0, *ends], ends)]))
+        return out
+
     def _ids(self, word: str) -> bytes:
         """Packed ids of a word that is not in the cache."""
         if (known := self.before.get(word)) is not None:
@@ -286,11 +424,25 @@ class Pieces:
 
     def encode(self, text: str) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
         """Decimal ids joined by commas, the ids, and start and end byte of every piece in the text."""
-        norm, align = self.normalise(text)
-        get, encode = self.cache.get, self._ids
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts: list[str]) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray]]:
+        """The same for each of several texts, about TEXT characters at a time."""
+        lo = 0
+        while lo < len(texts):
+            hi, size = lo + 1, len(texts[lo])
+            while hi < len(texts) and (size := size + len(texts[hi])) <= TEXT:
+                hi += 1
+            some = [self.normalise(text) for text in texts[lo:hi]]
+            words = [self.words(norm) if self.by_word else [norm] if norm else [] for norm, _ in some]
+            known = self.known(words) if self.fallback is not None else {}
+            yield from (self._encoded(*n, w, known) for n, w in zip(some, words))
+            lo = hi
+
+    def _encoded(self, norm: str, align: np.ndarray, words: list[str],
+                 known: dict[str, bytes]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
         if self.fallback is not None:
-            words = self.words(norm) if self.by_word else [norm] if norm else []
-            ids = np.frombuffer(b"".join([get(w) or encode(w) for w in words]), "<u4")
+            ids = np.frombuffer(b"".join([known[w] for w in words]), "<u4")
             size = self._sizes(ids)
         else:  # neighbouring unknown characters are one piece, over the ends of words too
             found = [(p, self.ids.get(p, self.unknown)) for p in (self._merge(norm) if norm else [])]
@@ -391,8 +543,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
                 out = [[] for _ in fields[1:]]
-                for text in part.column(1):
-                    joined, ids, lo, hi = m.encode(text.as_py() or "")
+                for joined, ids, lo, hi in m.encode_all([text or "" for text in part.column(1).to_pylist()]):
                     back = m.decode(ids)
                     row = [len(ids), sha(joined.encode()), sha(np.array([lo, hi], "<u4").T.tobytes()), sha(back.encode())]
                     row += [ids.astype(np.int32), lo, hi] if keep_pieces else []

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import struct
 
 import numpy as np
 import pytest
@@ -74,6 +75,48 @@ def test_decoding_of_any_ids_equals_the_library():
         assert own.decode(np.array(ids, "<u4")) == library.decode(ids)
 
 
+def test_words_of_a_batch_are_merged_side_by_side(monkeypatch):
+    """Rare words, characters without pieces and cuts between texts; no short word is merged on its own."""
+    rnd = random.Random(5)
+    texts = [" ".join("".join(rnd.choice("aehnrstäß.,%0\n漢\u0378😀") for _ in range(rnd.randint(1, 59))) for _ in range(40))
+             for _ in range(200)] + odd_texts()[-300:]
+    own, library = pieces.Pieces(model_file()), sentencepiece.SentencePieceProcessor(model_proto=model_file())
+    alone, merged = [], own._merge
+    monkeypatch.setattr(own, "_merge", lambda word: alone.append(word) or merged(word))
+    monkeypatch.setattr(pieces, "TEXT", 20_000)
+    monkeypatch.setattr(pieces, "BESIDE", 100)
+    found = list(own.encode_all(texts))
+    assert [ids.tolist() for _, ids, _, _ in found] == [library.encode(t) for t in texts]
+    assert [(lo.tolist(), hi.tolist()) for _, _, lo, hi in found[:200]] == [
+        tuple(map(list, zip(*[(p.begin, p.end) for p in library.encode(t, return_type="proto").pieces]))) for t in texts[:200]]
+    # Longer words are cut where no piece holds two neighbours: only their parts are merged alone.
+    long = {w for t in texts for w in own.words(own.normalise(t)[0]) if len(w) > pieces.SCANNED}
+    assert all(any(part in w for w in long) for part in alone)
+
+
+def test_equal_scores_are_joined_leftmost_first():
+    """A small model of equal scores, in which one longer piece holds a character that is no piece."""
+    rnd = random.Random(8)
+    names = ["<unk>", *(f"<0x{b:02X}>" for b in range(256)), pieces.SPACE, *"abc"]
+    names += sorted({"".join(rnd.choice("abc") for _ in range(rnd.randint(2, 4))) for _ in range(40)}) + [pieces.SPACE + "a", "xa", "xab"]
+    kinds = [2] + [6] * 256 + [1] * (len(names) - 257)
+    scores = [0.0] * 257 + [-float(rnd.randint(1, 3)) for _ in names[257:]]
+    model = b"".join(message(1, message(1, n.encode()) + b"\x15" + struct.pack("<f", s) + bytes([0x18, k]))
+                     for n, k, s in zip(names, kinds, scores))
+    # BPE with byte fallback; an unknown piece only besides.
+    model += message(2, b"\x18\x02" + b"\x98\x02\x01" + b"\xd0\x02" + b"\xff" * 9 + b"\x01" + b"\xc8\x02" + b"\xff" * 9 + b"\x01")
+    model += message(3, message(1, b"identity"))
+    same_as_library(model, ["".join(rnd.choice("abcabcabcx z") for _ in range(rnd.randint(0, 90))) for _ in range(1500)])
+
+
+def test_pairs_are_found_in_a_crowded_table():
+    rnd = random.Random(1)
+    known = {(rnd.randrange(60), rnd.randrange(60)): k for k in range(900)}
+    table = pieces.PairTable(*np.array([(a, b, v) for (a, b), v in known.items()], dtype=np.int64).T)
+    a, b = (x.reshape(-1) for x in np.meshgrid(np.arange(70), np.arange(70)))
+    assert table.get(a, b).tolist() == [known.get(p, pieces.PairTable.NONE) for p in zip(a.tolist(), b.tolist())]
+
+
 def test_other_models_are_refused():
     with pytest.raises(ValueError):
         pieces.Pieces(message(1, message(1, b"a") + b"\x18\x04") + message(2, b"\x18\x02"))
