@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import itertools
+import os
 import random
 import re
 
@@ -279,6 +280,40 @@ def test_rarest_shingles_of_every_run():
         assert compact_windows.rarest(rank, 12, 3).tolist() == want.tolist()
 
 
+def test_the_first_split_equals_trying_all():
+    rnd = np.random.default_rng(6)
+    found = []
+    for _ in range(400):
+        at = [np.flatnonzero(rnd.random(90) < 0.9) for _ in range(2)]
+        codes = [rnd.integers(0, 60, len(p)) for p in at]
+        same = np.isin(at[1], at[0]) & (rnd.random(len(at[1])) < 0.93)
+        codes[1][same] = codes[0][np.searchsorted(at[0], at[1][same])]
+        x, y, lo, hi = 40, 80, int(rnd.integers(0, 10)), int(rnd.integers(10, 40))
+
+        def similar(n):
+            a, b = (set(c[(p >= x - n) & (p <= y - n)].tolist()) for c, p in zip(codes, at))
+            return 100 * len(a & b) >= compact_windows.PERCENT * len(a | b)
+        want = next((n for n in range(lo, hi + 1) if similar(n)), None)
+        a, at_a, b, at_b = (v.tolist() for v in (codes[0], at[0], codes[1], at[1]))
+        assert compact_windows._first_split(a, at_a, x, y, b, at_b, x, y, lo, hi) == want
+        found.append(want)
+    assert len({w for w in found if w is not None}) > 5 and None in found
+
+
+def test_steps_that_are_done_leave_the_disk(spark):
+    """Of what is stored only small results stay: pairs, classes and their stars."""
+    from shelfspark.session import ensure_checkpoint_dir
+    root = ensure_checkpoint_dir(spark).removeprefix("file://").removeprefix("file:")
+    before = set(os.listdir(root))
+    passage = words(3, 60)
+    frame = spark.createDataFrame([(i, " ".join([*words(100 + i, 80), *passage, *words(900 + i, 80)])) for i in range(12)],
+                                  "doc_id long, text string")
+    pairs, classes = compact_windows.passages(frame)
+    left = {name.removeprefix("shelfspark-llm-").rsplit("-", 1)[0] for name in set(os.listdir(root)) - before if name.startswith("shelfspark-")}
+    assert left <= {"passage-pairs", "passage-classes", "edges", "stars", "passage-met"}
+    assert {r["component"] for r in classes.collect()} == {0} and pairs.count() >= 11
+
+
 def test_a_stock_phrase_costs_rows_in_proportion(spark):
     """Unrelated texts around one phrase of 40 words: no passage, and no pairs of documents to test."""
     phrase, stored_rows = words(60, 40), []
