@@ -328,6 +328,52 @@ def test_a_stock_phrase_costs_rows_in_proportion(spark):
     assert stored_rows[1] <= 4 * stored_rows[0] and stored_rows[0] > 0
 
 
+def marked(spark, marks):
+    """Open stretches with nothing but marks: rows (shingle, around, id, class, bare)."""
+    by = collections.defaultdict(list)
+    for shingle, around, doc, home, bare in marks:
+        by[doc, home].append((shingle, around, bare))
+    return spark.createDataFrame([(*k, bytearray(np.array(v, dtype=compact_windows.MARK).tobytes())) for k, v in by.items()],
+                                 "id long, class long, marks binary")
+
+
+def test_open_pairs_equal_their_definition(spark):
+    rnd = random.Random(14)
+    marks = {(rnd.randrange(8), rnd.randrange(4), i, i % 5 * 100, rnd.random() < 0.15) for i in range(60) for _ in range(rnd.randint(1, 4))}
+    marks = list({m[:4]: m for m in sorted(marks)}.values())
+    want, groups = set(), collections.defaultdict(list)
+    for shingle, around, doc, home, bare in marks:
+        groups[shingle, around].append((doc, home, bare))
+    for group in groups.values():      # same surroundings: with the smallest
+        low, high = min(group), max(group)
+        want |= {(doc if doc != low[0] else high[0], low[0]) for doc, home, bare in group
+                 if len(group) > 1 and (bare or home != low[1])}
+    some = {}
+    for (shingle, around), group in groups.items():      # other surroundings: the smallest of each class
+        for home in {g[1] for g in group}:
+            mine = [g for g in group if g[1] == home]
+            some[shingle, around, home] = min(mine)[0], any(g[2] for g in mine)
+    for (s, x, c), (i, bare) in some.items():
+        want |= {(max(i, j), min(i, j)) for (t, y, d), (j, other) in some.items()
+                 if s == t and x != y and i != j and (c != d or bare or other)}
+    got = [tuple(r) for r in compact_windows.open_pairs(marked(spark, marks)).select("id", "hub").collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 100
+
+
+def test_a_shingle_repeated_in_documents_is_joined_once_for_each(spark, monkeypatch):
+    """Each document has the shingle amid 200 surroundings of its own: the join gets a row a document."""
+    sizes, keep = {}, compact_windows.stored
+
+    def watched(df, name):
+        out = keep(df, name)
+        sizes[name] = out.count()
+        return out
+    monkeypatch.setattr(compact_windows, "stored", watched)
+    frame = marked(spark, [(7, 1000 * i + k, i, i, True) for i in range(5) for k in range(200)])
+    assert compact_windows.open_pairs(frame).count() == 10
+    assert sizes["passage-surroundings"] == 5
+
+
 def test_a_second_passage_of_one_class_is_reported(spark):
     """Two documents of one class share a further passage that no smaller document of the class has."""
     first, second = words(61, 55), words(62, 90)
