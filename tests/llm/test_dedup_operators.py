@@ -360,6 +360,35 @@ def test_open_pairs_equal_their_definition(spark):
     assert len(got) == len(set(got)) and set(got) == want and len(want) > 100
 
 
+def test_what_a_text_repeats_is_not_telling():
+    """Beside one other shingle, 45 times the same one is in no passage of texts without the other."""
+    rnd, least = random.Random(18), compact_windows.LEAST - compact_windows.WIDTH + 1
+    alone = np.zeros(200, dtype=bool)
+    rank = np.r_[np.arange(60), np.full(45, 500), np.arange(60, 155)].astype(np.int32)
+    assert not compact_windows.telling(rank, alone)[60:105].any()
+    rank = np.r_[np.arange(60), np.full(46, 500), np.arange(60, 154)].astype(np.int32)
+    assert compact_windows.telling(rank, alone)[60:106].all()
+    for _ in range(20):
+        rank = np.array([rnd.choice((rnd.randrange(4), rnd.randrange(200))) for _ in range(120)], dtype=np.int32)
+        before, after = rnd.choice((0, 7, 45)), rnd.choice((0, 45))
+        places = [None] * before + rank.tolist() + [None] * after
+        want = np.zeros(len(places), dtype=bool)
+        for lo in range(len(places) - least + 1):
+            some = sorted({x for x in places[lo:lo + least] if x is not None})
+            few = set(some[:compact_windows.ENOUGH[len(some)]])
+            want[lo:lo + least] |= [x in few for x in places[lo:lo + least]]
+        got = compact_windows.telling(rank, alone[:120], before, after)
+        assert (got == want[before:before + 120]).all() or got.all()
+
+
+def test_documents_of_different_classes_meet_at_telling_shingles(spark):
+    """A word that many documents repeat, amid other words: no pairs of different classes, all bare ones of one."""
+    frame = spark.createDataFrame([(i, i % 50 * 100, bytearray(np.array([(7, i, 2 + (i >= 50))], dtype=compact_windows.MARK).tobytes()))
+                                   for i in range(100)], "id long, class long, marks binary")
+    got = {tuple(r) for r in compact_windows.open_pairs(frame).select("id", "hub").collect()}
+    assert got == {(i + 50, i) for i in range(50)}
+
+
 def test_a_shingle_repeated_in_documents_is_joined_once_for_each(spark, monkeypatch):
     """Each document has the shingle amid 200 surroundings of its own: the join gets a row a document."""
     sizes, keep = {}, compact_windows.stored
